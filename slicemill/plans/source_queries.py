@@ -47,12 +47,12 @@ def typed_csv(spark, sf_dir):
 @query("csv_row_numbers", "SRC-05", "SELECT count(*) AS rows, true AS numbered FROM orders")
 def csv_row_numbers(spark, sf_dir):
     """Row numbers of gzip files run from 1 to the row count of each file without a gap."""
-    df = files.read_typed_csv(spark, order_csv(spark, sf_dir, "gz", gz=True), ORDER_CSV, row_no=True)
-    per_file = (df.select("*", F.col("row_no").alias("r")).groupBy(F.lit(1)).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("r").alias("lo"), F.sum("r").alias("total"), F.max("r").alias("hi")))
-    # a single input partition writes a single file; with several, the numbers restart in each
-    ok = (F.col("lo") == 1) & (F.col("hi") <= F.col("rows")) & (F.col("total") >= F.col("rows"))
-    return per_file.select("rows", ok.alias("numbered"))
+    scan = files.read_typed_csv(spark, order_csv(spark, sf_dir, "gz", gz=True), ORDER_CSV)
+    per_file = files.number_rows(scan, "row_no", "file").groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("row_no").alias("lo"), F.max("row_no").alias("hi"),
+        F.count_distinct("row_no").alias("numbers"))
+    gapless = (F.col("lo") == 1) & (F.col("hi") == F.col("n")) & (F.col("numbers") == F.col("n"))
+    return per_file.agg(F.sum("n").alias("rows"), F.bool_and(gapless).alias("numbered"))
 
 
 def event_lines(spark, sf_dir, name):

@@ -41,13 +41,14 @@ def sql_on_path(spark: SparkSession, path: str, where: str = "true") -> DataFram
 
 # --- numbering ---------------------------------------------------------------------------------
 
-def number_rows(scan: DataFrame, name: str) -> DataFrame:
+def number_rows(scan: DataFrame, name: str, file: str | None = None) -> DataFrame:
     """Number the rows of each file from 1 in file order, for scans of any size.
 
     A file is read as blocks, each by one task in order. The id Spark gives to rows grows by one
     inside a block, so a row's place in its block is its id minus the block's smallest id, and its
     place in the file adds the rows of the blocks before. Only one row per block is shuffled; the
     rows themselves stay where they were read. A recomputed task gets the same ids.
+    ``file`` keeps the path of the file under that name.
     """
     cols = scan.columns
     tagged = scan.select("*", F.col("_metadata.file_path").alias("_file"),
@@ -59,7 +60,7 @@ def number_rows(scan: DataFrame, name: str) -> DataFrame:
                             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     out = tagged.join(offsets, ["_file", "_block"], "inner")
     number = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return out.select(*cols, number.alias(name))
+    return out.select(*cols, number.alias(name), *([F.col("_file").alias(file)] if file else []))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
