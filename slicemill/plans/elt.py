@@ -173,7 +173,7 @@ class Warehouse:
         """Raw rows of the registered batches per entity, and the registry itself."""
         batches = self.registry()
         schema = ("line_no bigint, source_system string, envelope variant, payload variant, "
-                  "entity string, batch_id bigint")
+                  "payload_hash string, entity string, batch_id bigint")
         rows = self.spark.read.schema(schema).parquet(f"{self.root}/raw/rows")
         rows = rows.join(batches.select("batch_id"), "batch_id", "left_semi")
         return {"batches": batches, **{e: rows.where(F.col("entity") == e).drop("entity") for e in files.ENTITIES}}

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from slicemill.functions.columns import json_value
+from slicemill.functions.columns import json_value, payload_hash
 from slicemill.operators import quality, star
 from slicemill.operators.compare import layer_counts, trace
 from slicemill.operators.history import dim_team, observations
@@ -14,6 +14,7 @@ from slicemill.operators.marts import mart_team_day
 from slicemill.plans import elt
 from slicemill.plans.registry import query, table
 from slicemill.plans.standins import orders
+from slicemill.session import work_path
 
 SLICE = (dt.date(1997, 1, 1), dt.date(1999, 1, 1))
 
@@ -27,7 +28,7 @@ def raw(spark, sf_dir) -> dict:
     """
     o = orders(spark, sf_dir)
     nation = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    m = o.join(nation, "o_custkey")
+    m = spread(o, "o_orderkey").join(nation, "o_custkey")
     source = F.when(F.col("o_orderpriority") == "5-LOW", "partner").otherwise("main")
     home = F.col("c_nationkey").cast("bigint")
     year = F.year("day")
@@ -49,7 +50,7 @@ def raw(spark, sf_dir) -> dict:
         F.parse_json(F.lit("{}")).alias("envelope"), F.parse_json(F.to_json(match)).alias("payload"))
 
     of_order = m.select(F.col("o_orderkey").alias("l_orderkey"), source.alias("source_system"), home.alias("home"))
-    lines = table(spark, sf_dir, "lineitem").join(of_order, "l_orderkey")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey").join(of_order, "l_orderkey")
     team = F.when(F.col("l_linenumber") % 2 == 0, F.col("home")).otherwise(F.col("home") + 100)
     flag = F.col("l_returnflag")
     outcome = F.when(flag == "R", "Goal").when(flag == "A", "Saved").otherwise("Off T")
@@ -82,7 +83,22 @@ def raw(spark, sf_dir) -> dict:
         "batch_id", F.col("batch_id").cast("int").alias("batch_seq"), "row_count",
         F.concat(F.lit("batch-"), F.col("batch_id").cast("string"), F.lit(".jsonl")).alias("file_path"),
         F.sha2(F.col("batch_id").cast("string"), 256).alias("file_sha256"))
-    return {"matches": matches, "shots": shots, "batches": batches}
+    return {"matches": stored(spark, "raw-matches", matches), "shots": stored(spark, "raw-shots", shots),
+            "batches": stored(spark, "raw-batches", batches)}
+
+
+def spread(df, *cols):
+    """Rows over all cores before documents are made of them: a test table is a single small file."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *cols)
+
+
+def stored(spark, name, df):
+    """A relation written to the shared folder and read from there, as the run keeps its layers."""
+    if "payload" in df.columns:
+        df = df.withColumn("payload_hash", payload_hash("payload"))
+    path = work_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 RAW_SQL = """
@@ -127,12 +143,8 @@ fact AS (SELECT s.*, m.match_key, m.match_date, t.team_version_key, CASE WHEN s.
 def layers(spark, sf_dir, depth: int) -> dict:
     ctx = raw(spark, sf_dir)
     ctx |= elt.staging(ctx)
-    if depth > 0:
-        ctx |= elt.current_state(ctx)
-    if depth > 1:
-        ctx |= elt.dimensions(ctx)
-    if depth > 2:
-        ctx |= elt.facts(ctx, ctx)
+    for step in (elt.current_state, elt.dimensions, lambda c: elt.facts(c, c))[:depth]:
+        ctx |= {name: stored(spark, name, df) for name, df in step(ctx).items()}
     return ctx
 
 

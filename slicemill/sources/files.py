@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicemill.functions.aggregates import digest_parts
+from slicemill.functions.columns import payload_hash
 from slicemill.operators.relations import not_in_keys
 
 ENTITIES = ["matches", "shots"]
@@ -149,10 +150,15 @@ def drop_batches(raw: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def raw_rows(lines: DataFrame, registry: DataFrame) -> DataFrame:
-    """Envelope lines with the batch they belong to."""
+    """Envelope lines with the batch they belong to and the hash of their canonical content.
+
+    Writing a document out in canonical form costs more than reading all its fields, so the hash is
+    made once, when the row is loaded, and stored with it.
+    """
     batches = registry.select("batch_id", "source_system", "entity", F.col("file_path").alias("file"))
     return lines.join(batches, "file", "inner").select(
-        "batch_id", "line_no", "source_system", "entity", "envelope", "payload")
+        "batch_id", "line_no", "source_system", "entity", "envelope", "payload",
+        payload_hash("payload").alias("payload_hash"))
 
 
 def raw_summary(matches: DataFrame, shots: DataFrame) -> DataFrame:
