@@ -7,7 +7,6 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # NULL marker inside keys, last day of an open interval.
 NULL_MARK = "∅"
@@ -193,42 +192,15 @@ def per_unit(total: Column, n: Column, digits: int = 2) -> Column:
 
 # --- ordering ----------------------------------------------------------------------------------
 
-_NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+def order_columns(order: Sequence[str]) -> list[Column]:
+    """Sort columns of an order spec such as ``["version desc", "id asc"]``.
 
-
-def _descending(c: Column, kind: T.DataType) -> Column:
-    """An expression whose ascending order is the descending order of ``c``."""
-    if isinstance(kind, _NEGATABLE):
-        return F.bitwise_not(c)
-    if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
-        return -c
-    if isinstance(kind, T.BooleanType):
-        return ~c
-    if isinstance(kind, T.DateType):
-        return F.date_diff(F.lit(dt.date(1970, 1, 1)), c)
-    if isinstance(kind, T.TimestampNTZType):
-        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") - c
-    if isinstance(kind, T.TimestampType):
-        return -F.unix_micros(c)
-    raise TypeError(f"no descending form for {kind.simpleString()} in a mixed order")
-
-
-def rank_struct(df: DataFrame, order: Sequence[str]) -> tuple[Column, bool]:
-    """Order spec (``"a desc"``, ``"b asc"``) as one comparable struct.
-
-    Returns the struct and whether the FIRST row of the order is its maximum (else its minimum), so
-    that "first row per key" becomes a plain aggregate. NULL sorts above every value, as in the
-    warehouse dialect: first for descending, last for ascending columns.
+    NULL counts as larger than every value, as in the warehouse dialect: it comes first in a
+    descending and last in an ascending column.
     """
-    spec = []
+    out = []
     for item in order:
         name, _, way = item.strip().partition(" ")
-        spec.append((name, df.schema[name].dataType, (way.strip().lower() or "asc") == "desc"))
-    if all(desc for _, _, desc in spec):
-        parts = [p for name, _, _ in spec for p in (F.col(name).isNull(), F.col(name))]
-        return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)]), True
-    parts = []
-    for name, kind, desc in spec:
-        c = F.col(name)
-        parts += [c.isNotNull(), _descending(c, kind)] if desc else [c.isNull(), c]
-    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)]), False
+        down = way.strip().lower() == "desc"
+        out.append(F.col(name).desc_nulls_first() if down else F.col(name).asc_nulls_last())
+    return out

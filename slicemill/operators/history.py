@@ -1,65 +1,59 @@
-"""Versions, observations, slowly changing dimensions and validity joins.
-
-The reductions to one row per key are aggregates, not ``row_number`` windows: a window would send
-every copy of a key to one task, an aggregate folds the copies before the shuffle.
-"""
+"""Versions, observations, slowly changing dimensions and validity joins."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicemill.functions.aggregates import ordered_concat
 from slicemill.functions.columns import (
-    OPEN_END, date_key, day_name, iso_day_of_week, month_start, null_safe_key, rank_struct, surrogate_key,
+    OPEN_END, date_key, day_name, iso_day_of_week, month_start, null_safe_key, order_columns, surrogate_key,
 )
 from slicemill.operators.relations import both_sides, explode_keep
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                  extra: Mapping | None = None) -> DataFrame:
-    """The first row of each key under ``order`` (``"version desc"``, ...), plus ``extra`` aggregates.
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The first row of each key under ``order`` (``"version desc"``, ...), which should be total.
 
-    ``order`` should be total inside a key. Needs one shuffle, of at most one row per key and task.
+    Nothing but ``row_number() = 1`` is asked of the window, so Spark limits the groups before the
+    shuffle as well: a task sends at most one row per key, however many copies a hot key has.
     """
-    rank, take_max = rank_struct(df, order)
-    pick = F.max_by if take_max else F.min_by
-    rest = [c for c in df.columns if c not in keys]
-    aggs = [pick(F.struct(*rest), rank).alias("_row"), *[c.alias(n) for n, c in (extra or {}).items()]]
-    out = df.groupBy(*keys).agg(*aggs)
-    return out.select(*keys, *[F.col("_row")[c].alias(c) for c in rest], *(extra or {}))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_columns(order)))
+    return df.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    payload_hash: str | None = None) -> DataFrame:
     """Newest version per key with ``raw_copies`` and, given a hash, ``variants_same_version``.
 
-    ``order[0]`` is the version, newest first; the rest break ties. The number of different contents
-    of the kept version needs the triple (key, version, hash) to be made distinct first. Only these
-    three narrow columns go through that; wide rows are shuffled once. Both parts end partitioned by
-    the same key struct, so joining them adds no shuffle.
+    ``order[0]`` is the version, newest first; the rest break ties. Counts over the key would keep
+    the window from limiting its groups early, so they are taken by aggregates over narrow columns:
+    the different contents per (key, version, hash) and their copies, then per (key, version), then
+    per key. Wide rows are shuffled once, and both parts end partitioned by the same key struct, so
+    joining them adds no shuffle.
     """
-    copies = {"raw_copies": F.count(F.lit(1))}
-    if payload_hash is None:
-        return first_per_key(df, keys, order, copies)
     keyed = df.withColumn("_key", null_safe_key(*keys))
-    newest = first_per_key(keyed, ["_key"], order, copies)
+    newest = first_per_key(keyed, ["_key"], order)
+    if payload_hash is None:
+        counts = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("raw_copies"))
+        return newest.join(counts, "_key").drop("_key")
     version = order[0].split()[0]
-    contents = keyed.groupBy("_key", version, payload_hash).agg(F.lit(1).alias("_one"))
-    per_version = contents.groupBy("_key", version).agg(F.count(F.lit(1)).alias("variants_same_version"))
-    rank, take_max = rank_struct(per_version, [order[0]])
-    pick = F.max_by if take_max else F.min_by
-    variants = per_version.groupBy("_key").agg(pick("variants_same_version", rank).alias("variants_same_version"))
-    return newest.join(variants, "_key").drop("_key")
+    contents = keyed.groupBy("_key", version, payload_hash).agg(F.count(F.lit(1)).alias("_n"))
+    per_version = contents.groupBy("_key", version).agg(F.count(F.lit(1)).alias("_v"), F.sum("_n").alias("_n"))
+    undated = F.max(F.when(F.col(version).isNull(), F.col("_v")))
+    counts = per_version.groupBy("_key").agg(
+        F.sum("_n").alias("raw_copies"),
+        F.coalesce(undated, F.max_by("_v", version)).alias("variants_same_version"))
+    return newest.join(counts, "_key").drop("_key")
 
 
 def latest_attr(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``distinct on (keys) ... order by``: the attributes of the first row per key (SCD1)."""
     names = [o.split()[0] for o in order]
     narrow = df.select(*dict.fromkeys([*keys, *attrs, *names]))
-    return first_per_key(narrow, keys, order).select(*keys, *[a for a in attrs if a not in keys])
+    return first_per_key(narrow, keys, order).select(*dict.fromkeys([*keys, *attrs]))
 
 
 def last_wins(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
