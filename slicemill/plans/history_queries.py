@@ -9,6 +9,7 @@ from slicemill.operators import history
 from slicemill.operators.relations import explode_keep, with_scalar
 from slicemill.plans.registry import query, table
 from slicemill.plans.standins import orders
+from slicemill.session import work_path
 
 LINE_ORDER = ["l_shipdate desc", "l_partkey desc", "l_suppkey desc", "l_extendedprice desc", "l_quantity desc",
               "l_discount desc", "l_tax desc"]
@@ -82,6 +83,13 @@ def versions(spark, sf_dir, attr):
     return history.scd2_from_observations(obs, ["o_custkey"], "attr", "day")
 
 
+def dimension(spark, sf_dir, attr):
+    """The history as a table of its own, as facts meet it in a warehouse."""
+    path = work_path(spark, "dimension")
+    versions(spark, sf_dir, attr).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @query("scd2_versions", "C-08 JOI-09", f"WITH {versions_sql('o_orderpriority')} {SELECT_VERSIONS}")
 def scd2_versions(spark, sf_dir):
     return versions(spark, sf_dir, F.col("o_orderpriority"))
@@ -109,7 +117,7 @@ SELECT a.o_custkey, a.attr AS attr_a, CAST(a.valid_from AS VARCHAR) AS valid_fro
 FROM versions a JOIN versions b ON a.o_custkey = b.o_custkey AND a.attr < b.attr
  AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to""")
 def scd2_overlaps(spark, sf_dir):
-    return history.overlapping_versions(versions(spark, sf_dir, F.col("o_orderpriority")), ["o_custkey"], "attr")
+    return history.overlapping_versions(dimension(spark, sf_dir, F.col("o_orderpriority")), ["o_custkey"], "attr")
 
 
 @query("asof_join_counts", "JOI-04", f"""WITH {versions_sql('o_orderpriority')}
@@ -117,7 +125,7 @@ SELECT o_orderkey, count(versions.attr) AS valid_versions, min(versions.attr) AS
 FROM orders LEFT JOIN versions ON versions.o_custkey = orders.o_custkey
  AND CAST(o_orderdate AS DATE) >= valid_from AND CAST(o_orderdate AS DATE) < valid_to GROUP BY o_orderkey""")
 def asof_join_counts(spark, sf_dir):
-    dim = versions(spark, sf_dir, F.col("o_orderpriority"))
+    dim = dimension(spark, sf_dir, F.col("o_orderpriority"))
     joined = history.join_valid_at(orders(spark, sf_dir), dim, ["o_custkey"], "day", ["attr"])
     return joined.groupBy("o_orderkey").agg(F.count("attr").alias("valid_versions"), F.min("attr").alias("first_attr"))
 
@@ -130,7 +138,7 @@ def asof_join_rows(spark, sf_dir):
     """Events of known and unknown customers, moved into the years of the versions and before."""
     day = F.date_add(F.date_sub(F.to_date("ts"), 8400), (F.col("event_id") % 3000).cast("int"))
     ev = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), day.alias("day"))
-    dim = versions(spark, sf_dir, F.year("day").cast("string"))
+    dim = dimension(spark, sf_dir, F.year("day").cast("string"))
     return history.join_valid_at(ev, dim, ["o_custkey"], "day", ["attr"]).select("event_id", "attr")
 
 
@@ -141,7 +149,7 @@ FROM orders LEFT JOIN versions v ON v.o_custkey = orders.o_custkey
  AND CAST(o_orderdate AS DATE) >= valid_from AND CAST(o_orderdate AS DATE) < valid_to
 GROUP BY o_orderkey HAVING count(v.attr) <> 1""")
 def versions_per_event(spark, sf_dir):
-    dim = versions(spark, sf_dir, F.col("o_orderpriority")).withColumn("label", F.col("attr"))
+    dim = dimension(spark, sf_dir, F.col("o_orderpriority")).withColumn("label", F.col("attr"))
     out = history.versions_per_event(orders(spark, sf_dir), dim, ["o_custkey"], "day", "attr", "label")
     return out.select("o_orderkey", "versions_on_event_date", "managers")
 
