@@ -226,7 +226,8 @@ def describe(spark: SparkSession, name: str) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {namespace}").select("namespace", "tableName", "isTemporary")
+    """Tables of a namespace; temporary views, which SHOW TABLES adds everywhere, are left out."""
+    return spark.sql(f"SHOW TABLES IN {namespace}").where("not isTemporary").select("namespace", "tableName")
 
 
 def analyze(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> None:

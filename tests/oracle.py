@@ -66,9 +66,10 @@ def differences(spark, con, name, run, sql, sf_dir) -> str | None:
 
 def main(argv):
     from slicemill.plans import all_queries
-    from slicemill.session import build_session
+    from pyspark.sql import SparkSession
     sf_dir = argv[0]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
+             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
