@@ -7,11 +7,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from slicemill.functions.columns import out_of_range
+from slicemill.functions.columns import out_of_range, stamp
 from slicemill.operators import quality
 from slicemill.operators.compare import tables_equal, verify_copy
 from slicemill.operators.marts import MART_KEY, team_day
-from slicemill.operators.relations import cached
+from slicemill.operators.relations import cached, distinct_rows
 from slicemill.plans.mart_queries import MEASURES_SQL, team_day_sql
 from slicemill.plans.quality_queries import KEY, SPLIT_SQL, line_rules
 from slicemill.plans.registry import query, table
@@ -226,7 +226,7 @@ def catalog_table(spark, sf_dir):
 
 def day_mart(spark, sf_dir, slice_, run_id):
     mart = team_day(fact_slice(spark, sf_dir, *slice_), "main", *slice_, sort=False)
-    return mart.withColumns({"slice_start": F.lit(slice_[0]), "slice_end": F.lit(slice_[1]), "run_id": F.lit(run_id)})
+    return stamp(mart, *slice_, run_id)
 
 
 S1 = (dt.date(1998, 1, 1), dt.date(1998, 4, 1))
@@ -243,6 +243,14 @@ def published(spark, sf_dir):
     return target
 
 
+@query("candidate_params", "AGG-17 SET-04 PRJ-05", f"""SELECT DISTINCT CAST(o_orderkey * 0 + 1 AS BIGINT) AS versions,
+  '{S1[0]}' AS slice_start, '{S1[1]}' AS slice_end, 'r1' AS run_id FROM orders""")
+def candidate_params(spark, sf_dir):
+    """The parameters a candidate was built for: one combination, as every publication requires."""
+    params = distinct_rows(day_mart(spark, sf_dir, S1, "r1"), ["slice_start", "slice_end", "run_id"])
+    return params.select(params.agg(F.count(F.lit(1)).alias("n")).scalar().alias("versions"), "slice_start", "slice_end", "run_id")
+
+
 PUBLISHED_SQL = f"""{FACT_SQL}, p AS (
   SELECT source_system, team_id, match_date, {MEASURES_SQL} FROM fact
   WHERE source_system = 'main' AND NOT is_shootout AND match_date >= DATE '{S1[0]}' AND match_date < DATE '{S1[1]}'

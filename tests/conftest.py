@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from slicemill.session import build_session
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.ansi.enabled": "true"})
+        "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "8g", "spark.sql.ansi.enabled": "true"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
