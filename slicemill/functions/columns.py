@@ -167,11 +167,6 @@ def json_value(c: str | Column, path: str, type_: str = "string") -> Column:
     return F.variant_get(as_col(c), path, type_)
 
 
-def json_cast(c: str | Column, path: str, type_: str) -> Column:
-    """Value at ``path`` read as text, then cast (dates, timestamps, intervals kept as JSON text)."""
-    return F.variant_get(as_col(c), path, "string").cast(type_)
-
-
 def payload_hash(c: str | Column) -> Column:
     """Hash of the canonical JSON text: key order and white space do not matter."""
     return F.md5(F.to_json(as_col(c)))

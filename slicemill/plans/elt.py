@@ -12,7 +12,7 @@ from slicemill.functions.columns import slice_bounds
 from slicemill.operators import quality as q
 from slicemill.operators import star
 from slicemill.operators.history import calendar, dim_team, observations
-from slicemill.operators.marts import MART_COLS, MART_KEY, in_play, mart_team_day
+from slicemill.operators.marts import MART_KEY, in_play, mart_team_day
 from slicemill.session import work_path
 from slicemill.sinks.versioned import PublicationRefused, PublishedMart
 from slicemill.sources import files
@@ -212,6 +212,3 @@ class Warehouse:
         except PublicationRefused:
             done = None
         return Run(ctx, tests, report, q.gate(report), done, actions)
-
-
-__all__ = ["Warehouse", "Run", "rules", "staging", "current_state", "dimensions", "facts", "MART_COLS"]

@@ -26,6 +26,14 @@ PUBLICATION_LOG = ("publication_id bigint, run_id string, scenario string, slice
                    "rows_published bigint, checksum string, published_at timestamp")
 
 
+# Types of the published team-day mart.
+PUBLISHED_MART = ("match_date date, date_key int, source_system string, team_id bigint, team_name string, "
+                  "manager_name string, competition_name string, stage_name string, match_id bigint, "
+                  "opponent_name string, team_score int, shots bigint, shots_on_target bigint, goals bigint, "
+                  "penalty_goals bigint, xg decimal(12,4), goals_minus_xg decimal(12,4), published_run_id string, "
+                  "published_at timestamp")
+
+
 class PublicationRefused(ValueError):
     """The candidate may not replace the published slice."""
 
@@ -164,6 +172,7 @@ class PublishedMart:
     def __init__(self, spark: SparkSession, root: str, cols: Sequence[str] = MART_COLS,
                  key: Sequence[str] = MART_KEY, date: str = "match_date"):
         self.spark, self.root = spark, root
+        self.schema = PUBLISHED_MART if list(cols) == MART_COLS else None
         self.cols, self.key, self.date = list(cols), list(key), date
         self.log = _Log(spark, f"{root}/log", PUBLICATION_LOG)
 
@@ -174,7 +183,9 @@ class PublishedMart:
         return covered.groupBy(self.date).agg(F.max("publication_id").alias("publication_id"))
 
     def rows(self) -> DataFrame:
-        """Published rows. Empty, but with the columns of the last folder, when nothing is visible."""
+        """Published rows; none, with the mart's columns, before the first publication."""
+        if self.schema and self.log.read().isEmpty():
+            return values(self.spark, [], self.schema)
         data = self.spark.read.option("mergeSchema", False).parquet(f"{self.root}/data")
         # one row per calendar day bounds the broadcast; it also prunes superseded folders at run time
         return data.join(F.broadcast(self._owner()), ["publication_id", self.date], "left_semi").drop("publication_id")

@@ -172,6 +172,13 @@ def test_publication_replaces_only_its_slice(spark, tmp_path, rows):
     assert m.last_publication().first()["checksum"] == "empty"
 
 
+def test_nothing_published_yet(spark, tmp_path):
+    m = PublishedMart(spark, str(tmp_path / "none"))
+    assert m.rows().count() == 0 and "goals_minus_xg" in m.view().columns
+    assert m.slice_checksum("2024-01-01", "2024-02-01").first()["checksum"] == "empty"
+    assert m.last_publication().count() == 0
+
+
 def test_inline_values_are_known_to_be_small(spark):
     d = dictionary(spark, [("a", "x")], "k string, v string", "small_dictionary")
     big = spark.range(10).select(F.col("id").cast("string").alias("k"))
