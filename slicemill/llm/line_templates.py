@@ -53,7 +53,7 @@ def fitting(docs: DataFrame, stats: DataFrame) -> DataFrame:
         several = F.broadcast(several)
     voters = lines(docs).where(F.col("n") > LEADING).join(several, "leaf", "left_semi")
     voters = voters.groupBy("leaf", "mh").agg(F.first("masked").alias("masked"))
-    tokens = F.transform(F.slice(F.split("masked", " "), F.lit(LEADING + 1), F.lit(2 ** 31 - 1)), lambda t: F.xxhash64(t))
+    tokens = F.transform(F.slice(F.split("masked", " "), F.lit(LEADING + 1), F.lit(1 << 30)), lambda t: F.xxhash64(t))
     voters = written(voters.select("leaf", "mh", tokens.alias("tokens")), "voters")
     votes = voters.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count("*").alias("c"))
     size = voters.groupBy("leaf").agg(F.count("*").alias("m"))
