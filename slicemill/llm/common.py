@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from slicemill.session import work_path
 
-TEXT_BATCH = 2000  # texts that a Python task holds at a time; Spark bounds the batch in bytes as well
+BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20  # what a Python task works on at a time; a single text may be longer
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -49,17 +49,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], schema: str) -> DataFrame:
-    """``fn`` turns a batch of at most TEXT_BATCH rows into columns; one call sees no other rows."""
-    names = [f.split()[0] for f in schema.split(", ")]
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Pieces of at most BATCH_ROWS rows and, by their mean size, BATCH_BYTES."""
+    step = max(1, min(BATCH_ROWS, BATCH_BYTES * batch.num_rows // max(1, batch.nbytes)))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
+def map_batches(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], dict[str, list]]], schema: str) -> DataFrame:
+    """``start`` is called once for each task; what it gives turns pieces of batches into columns, row by row."""
+    fields = [f.split() for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = None
+        fn = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXT_BATCH):
-                out = fn(batch.slice(at, TEXT_BATCH))
-                types = types or [ARROW[f.split()[1]] for f in schema.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(names, types)], names)
+            for piece in slices(batch):
+                out = fn(piece)
+                yield pa.RecordBatch.from_arrays([pa.array(out[n], ARROW[t]) if isinstance(out[n], list) else out[n] for n, t in fields], [n for n, _ in fields])
 
     return df.mapInArrow(run, schema)
 
