@@ -7,22 +7,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slicemill.llm import decontamination, line_templates
+from slicemill.llm import decontamination, line_templates, ngram_join, toxicity
 from slicemill.llm.common import written
 from slicemill.plans.registry import table
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity machine rejects go; it learns from ``labels``."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring line templates leave all documents but their first one."""
     return line_templates.dedup_lines(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return ngram_join.keep_first(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
     return decontamination.drop_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("line_dedup", line_dedup), ("benchmark_decontamination", benchmark_decontamination)]
+STAGES = [("toxicity", drop_toxic), ("line_dedup", line_dedup), ("ngram_join", near_duplicates),
+          ("benchmark_decontamination", benchmark_decontamination)]
 
 ORACLE_SQL = None
 

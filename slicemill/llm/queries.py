@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.llm import decontamination, line_templates
+from slicemill.llm import decontamination, line_templates, ngram_join, toxicity
 from slicemill.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_toxicity(spark, sf_dir):
+    """Toxicity score of every document by a machine fitted on the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.train(docs, labels))
+
+
 @query
 def op3_line_templates(spark, sf_dir):
     """Every document with its recurring lines dropped."""
@@ -49,6 +56,30 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
 """
 
 
+@query
+def op4_ngram_join(spark, sf_dir):
+    """Class and number of links of every document at a Jaccard similarity of 0.8 on runs of five words."""
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_texts")
+
+
+ORACLE["op4_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 5, 0) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT w.doc_id, count(g) AS n, md5(coalesce(string_agg(g, ',' ORDER BY g), '')) AS node FROM w LEFT JOIN g USING (doc_id) GROUP BY w.doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS (
+  SELECT a, b, y.node FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 5 * c >= 4 * (x.n + y.n - c)
+  UNION ALL SELECT x.doc_id, y.doc_id, y.node FROM n x JOIN n y ON x.doc_id <> y.doc_id WHERE x.n = 0 AND y.n = 0),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+k AS (SELECT a AS doc_id, min(b) AS class_id FROM r GROUP BY a)
+SELECT n.doc_id, class_id, count(l.b) AS n_links, count(DISTINCT CASE WHEN l.node <> n.node THEN l.node END) AS n_texts
+FROM n JOIN k USING (doc_id) LEFT JOIN l ON l.a = n.doc_id GROUP BY n.doc_id, class_id
+"""
+
+
 @query
 def op10_benchmark_contamination(spark, sf_dir):
     """Words of every document, those inside benchmark windows, and the items they come from."""
