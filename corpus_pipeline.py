@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from slicemill.llm import decontamination, line_templates, ngram_join, toxicity
+from slicemill.llm import decontamination, line_templates, ngram_join, packing, toxicity
 from slicemill.llm.common import written
 from slicemill.plans.registry import table
 
@@ -32,8 +32,13 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontamination.drop_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of what is left in sequences of at most 1024 tokens."""
+    return packing.pack(docs)
+
+
 STAGES = [("toxicity", drop_toxic), ("line_dedup", line_dedup), ("ngram_join", near_duplicates),
-          ("benchmark_decontamination", benchmark_decontamination)]
+          ("benchmark_decontamination", benchmark_decontamination), ("packing", pack)]
 
 ORACLE_SQL = None
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.llm import decontamination, line_templates, ngram_join, toxicity
+from slicemill.llm import decontamination, line_templates, ngram_join, packing, token_counts, toxicity
 from slicemill.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,18 @@ FROM n JOIN k USING (doc_id) LEFT JOIN l ON l.a = n.doc_id GROUP BY n.doc_id, cl
 """
 
 
+@query
+def op5_token_counts(spark, sf_dir):
+    """Bytes and tokens of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_packing(spark, sf_dir):
+    """Place of every piece of every document in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_benchmark_contamination(spark, sf_dir):
     """Words of every document, those inside benchmark windows, and the items they come from."""
