@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.llm import decontamination, line_templates, ngram_join, packing, token_counts, toxicity
+from slicemill.llm import decontamination, fingerprints, line_templates, ngram_join, packing, pii, token_counts, toxicity
 from slicemill.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.train(docs, labels))
 
 
+@query
+def op2_phrase_fingerprints(spark, sf_dir):
+    """Phrase fingerprints of every document and of its edited text, with their likeness."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_line_templates(spark, sf_dir):
     """Every document with its recurring lines dropped."""
@@ -92,6 +98,12 @@ def op7_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_personal_data(spark, sf_dir):
+    """Spans of personal data in every document."""
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_benchmark_contamination(spark, sf_dir):
     """Words of every document, those inside benchmark windows, and the items they come from."""
