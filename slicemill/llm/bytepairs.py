@@ -23,16 +23,23 @@ class ByteEncoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.tool = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-        self.kind, self.known = kind, {}
+        self.kind, self.width, self.known = kind, array(kind).itemsize, {}
 
     def plain(self, text: str) -> bytes:
         return array(self.kind, self.tool.encode(text, allowed_special="all")).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
+        return b"".join(self.parts(text))
+
+    def size(self, text: str | None) -> int:
+        """Number of ids."""
+        return sum(map(len, self.parts(text))) // self.width
+
+    def parts(self, text: str | None) -> list[bytes]:
         if not text:
-            return b""
+            return []
         if RUN.search(text) or "<|" in text:
-            return self.plain(text)
+            return [self.plain(text)]
         first, *rest = text.split(" ")
         known, ordinary, kind = self.known, self.tool.encode_ordinary, self.kind
         out = [self.plain(first)]
@@ -43,7 +50,7 @@ class ByteEncoder:
                     known.clear()
                 ids = known[w] = array(kind, ordinary(" " + w)).tobytes()
             out.append(ids)
-        return b"".join(out)
+        return out
 
 
 _encoders: dict[tuple[str, str], ByteEncoder] = {}

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.llm import decontamination, fingerprints, line_templates, ngram_join, packing, pii, token_counts, toxicity
+from slicemill.llm import chat, decontamination, fingerprints, line_templates, ngram_join, packing, pii, token_counts, toxicity, training_order
 from slicemill.plans.registry import table
+from slicemill.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,12 +93,36 @@ def op5_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_training_order(spark, sf_dir):
+    """Slot, shard and documents of every sequence, written in training order to the shared folder."""
+    return training_order.materialise(table(spark, sf_dir, "documents"), work_path(spark, "shards"), key=20240229)
+
+
 @query
 def op7_packing(spark, sf_dir):
     """Place of every piece of every document in sequences of at most 1024 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_chat_format(spark, sf_dir):
+    """Every conversation that no other one continues, rendered."""
+    return chat.format_conversations(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op8_chat_format"] = r"""
+WITH c AS (
+  SELECT conv_id, count(*) AS n, list(struct_pack(r := role, t := text) ORDER BY turn, role, text) AS l,
+    string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn, role, text) AS rendered
+  FROM conversations GROUP BY conv_id),
+k AS (SELECT * FROM c WHERE NOT EXISTS (
+  SELECT 1 FROM c b WHERE b.l[1:c.n] = c.l AND (b.n > c.n OR (b.n = c.n AND b.conv_id < c.conv_id)))),
+i AS (SELECT c.conv_id, min(k.conv_id) AS into_id FROM c JOIN k ON k.l[1:c.n] = c.l GROUP BY c.conv_id)
+SELECT k.conv_id, k.n AS n_turns, count(*) - 1 AS n_collapsed, k.rendered FROM k JOIN i ON i.into_id = k.conv_id GROUP BY k.conv_id, k.n, k.rendered
+"""
+
+
 @query
 def op9_personal_data(spark, sf_dir):
     """Spans of personal data in every document."""
