@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import as_col, holds, row_text
+from .columns import as_col, holds
 
 # Text logged instead of a digest when there is nothing to digest.
 EMPTY = "empty"
@@ -44,13 +44,18 @@ def ordered_concat(value: Column, order: Column, sep: str = " | ") -> Column:
 def digest_parts(cols: Sequence[str | Column]) -> list[Column]:
     """Count and two 60-bit sums of row hashes.
 
+    Each value is written with its length, so that no two different rows have the same text, and sums hold
+    for 10^20 rows.
+
     Addition does not care for order, so the digest is a plain two-phase aggregate: no sort and no
     task that has to see all rows, and repeated rows still change it (unlike XOR).
     """
-    h = F.md5(row_text(*cols))
+    values = [as_col(c).cast("string") for c in cols]
+    sized = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in values]
+    h = F.md5(F.concat_ws("|", *sized))
 
     def part(start: int) -> Column:
-        number = F.conv(F.substring(h, start, 15), 16, 10).cast("decimal(20,0)")
+        number = F.conv(F.substring(h, start, 15), 16, 10).cast("decimal(28,0)")
         return F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)")
 
     return [F.count(F.lit(1)).alias("n"), part(1).alias("hi"), part(17).alias("lo")]

@@ -127,18 +127,13 @@ def slice_bounds(start: str | dt.date | None, end: str | dt.date | None) -> tupl
     return lo, hi
 
 
-def date_slice(df: DataFrame, col: str, start, end, bucket: str | None = None) -> DataFrame:
+def date_slice(df: DataFrame, col: str, start, end) -> DataFrame:
     """Rows of the half-open event-date slice ``[start, end)``.
 
-    ``bucket`` names a year partition column derived from ``col``; the predicate on it is what lets
-    the scan skip whole folders, because a predicate on ``col`` alone prunes only row groups.
+    On a yearly layout, ``datasets.slice_partitions`` gives the predicate that skips whole folders.
     """
     lo, hi = slice_bounds(start, end)
-    kept = df.where((F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
-    if bucket:
-        last = hi - dt.timedelta(days=1)
-        kept = kept.where(F.col(bucket).between(lo.year, last.year))
-    return kept
+    return df.where((F.col(col) >= F.lit(lo)) & (F.col(col) < F.lit(hi)))
 
 
 def date_key(c: str | Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -142,43 +141,21 @@ def dim_team(obs: DataFrame) -> DataFrame:
 
 # --- validity joins ----------------------------------------------------------------------------
 
-# Entities with more versions than this are matched month by month, the others as a whole.
-HEAVY_VERSIONS = 64
-EPOCH = dt.date(1970, 1, 1)
-
-
-def few_versions(versions: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether every entity has few versions: one small aggregate, one number to the driver.
-
-    With few versions a row meets at most that many candidates, so an equi join with the interval as
-    a residual condition is the cheapest exact plan; a hot entity is split by the skew-join rule.
-    """
-    per_entity = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return (per_entity.agg(F.max("n").alias("n")).first()["n"] or 0) <= HEAVY_VERSIONS
-
-
 def _slotted(points: DataFrame, versions: DataFrame, keys: Sequence[str], date: str, start: str,
              end: str) -> tuple[DataFrame, DataFrame]:
-    """Points and versions with a ``_slot`` to join on besides the entity.
+    """Points and versions with the calendar month (``_slot``) to join on besides the entity.
 
-    An entity with few versions has a single slot. One with many versions would compare each of
-    them with each of its points; its versions are repeated once per calendar month that they can
-    share with a point, and its points go to their month. A month has at most 31 days, so distinct
-    daily points meet a version at most 31 times per month, however many versions there are.
+    A version is repeated once per month that it can share with a point of its entity. A month has at
+    most 31 days, so distinct daily points meet a version at most 31 times per month, however many versions
+    an entity has, and an open end reaches no further than the points do.
     """
     keys = list(keys)
-    heavy = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HEAVY_VERSIONS)
-    span = (points.join(heavy.select(*keys), keys, "left_semi").groupBy(*keys)
-            .agg(F.min(date).alias("_lo"), F.max(date).alias("_hi")))
-    slotted = points.join(span, keys, "left").withColumn(
-        "_slot", F.when(F.col("_lo").isNotNull(), month_start(date)).otherwise(F.lit(EPOCH))).drop("_lo", "_hi")
-    lo, hi = F.col("_lo"), F.col("_hi")
-    met = versions.where(F.col(start) < F.col(end)).join(span, keys, "left").where(
-        lo.isNull() | ((F.col(start) <= hi) & (F.col(end) > lo)))
-    months = F.sequence(month_start(F.greatest(F.col(start), lo)),
-                        month_start(F.least(F.date_sub(F.col(end), 1), hi)), F.expr("interval 1 month"))
-    slots = F.when(lo.isNotNull(), months).otherwise(F.array(F.lit(EPOCH)))
-    return slotted, met.withColumn("_slot", F.explode(slots)).drop("_lo", "_hi")
+    span = points.groupBy(*keys).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
+    met = versions.where(F.col(start) < F.col(end)).join(span, keys, "inner").where(
+        (F.col(start) <= F.col("_hi")) & (F.col(end) > F.col("_lo")))
+    months = F.sequence(month_start(F.greatest(F.col(start), F.col("_lo"))),
+                        month_start(F.least(F.date_sub(F.col(end), 1), F.col("_hi"))), F.expr("interval 1 month"))
+    return points.withColumn("_slot", month_start(date)), met.withColumn("_slot", F.explode(months)).drop("_lo", "_hi")
 
 
 def valid_on(points: DataFrame, versions: DataFrame, keys: Sequence[str], date: str,
@@ -186,11 +163,8 @@ def valid_on(points: DataFrame, versions: DataFrame, keys: Sequence[str], date:
     """Every version valid on each distinct (entity, day) point; points without a version drop out."""
     keys = list(keys)
     points = points.select(*keys, date).dropna().distinct()
-    if few_versions(versions, keys):
-        met = points.join(versions, keys, "inner").withColumn("_slot", F.lit(0))
-    else:
-        slotted, slots = _slotted(points, versions, keys, date, start, end)
-        met = slotted.join(slots, [*keys, "_slot"], "inner")
+    slotted, slots = _slotted(points, versions, keys, date, start, end)
+    met = slotted.join(slots, [*keys, "_slot"], "inner")
     return met.where((F.col(date) >= F.col(start)) & (F.col(date) < F.col(end))).drop("_slot")
 
 
@@ -198,37 +172,29 @@ def join_valid_at(fact: DataFrame, versions: DataFrame, keys: Sequence[str], dat
                   take: Sequence[str], start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Left join of facts to the version(s) valid on the event date; an overlap fans out.
 
-    Where some entity has many versions, they are looked up once per (entity, day) and then joined
-    by equality, so that the range condition is not tried for every fact of such an entity.
+    Versions are looked up once per distinct (entity, day) and then joined by equality, so that the
+    range condition is not tried for every fact. Columns: those of the fact that are not taken, then
+    ``take``; a taken column replaces one of the fact of the same name.
     """
-    narrow = versions.select(*dict.fromkeys([*keys, start, end, *take]))
-    if few_versions(narrow, keys):
-        named = {c: f"_v_{c}" for c in narrow.columns}
-        dim = narrow.withColumnsRenamed(named)
-        cond = [F.col(k) == F.col(f"_v_{k}") for k in keys]
-        cond += [F.col(date) >= F.col(f"_v_{start}"), F.col(date) < F.col(f"_v_{end}")]
-        kept = [c for c in fact.columns if c not in take]
-        return fact.select(*kept).join(dim, cond, "left").select(*kept, *[F.col(f"_v_{c}").alias(c) for c in take])
-    found = valid_on(fact, narrow, keys, date, start, end).select(*keys, date, *take)
-    return fact.join(found, [*keys, date], "left")
+    keys = list(keys)
+    narrow = versions.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_v_{c}") for c in dict.fromkeys([start, end, *take])])
+    found = valid_on(fact, narrow, keys, date, f"_v_{start}", f"_v_{end}").select(*keys, date, *[f"_v_{c}" for c in take])
+    kept = [c for c in fact.columns if c not in take]
+    return fact.select(*kept).join(found, [*keys, date], "left").select(*kept, *[F.col(f"_v_{c}").alias(c) for c in take])
 
 
 def overlapping_versions(versions: DataFrame, keys: Sequence[str], version_key: str, take: Sequence[str] = (),
                          start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Pairs of versions of one entity whose half-open intervals intersect, each pair once.
 
-    Two intervals intersect only if the later start lies inside the other one. Where an entity has
-    many versions, starts are looked up in the intervals of their month instead of comparing all
-    pairs of the entity.
+    Two intervals intersect only if the later start lies inside the other one, so starts are looked up
+    in the intervals of their month instead of comparing all pairs of the entity.
     """
     keys = list(keys)
     cols = list(dict.fromkeys([version_key, start, end, *take]))
     a = versions.select(*keys, *[F.col(c).alias(f"{c}_x") for c in cols])
     b = versions.select(*keys, *[F.col(c).alias(f"{c}_y") for c in cols])
-    if few_versions(versions, keys):
-        starts, slots = b.withColumn("_slot", F.lit(0)), a.withColumn("_slot", F.lit(0))
-    else:
-        starts, slots = _slotted(b, a, keys, f"{start}_y", f"{start}_x", f"{end}_x")
+    starts, slots = _slotted(b, a, keys, f"{start}_y", f"{start}_x", f"{end}_x")
     x_from, x_to, y_from, y_to = (F.col(c) for c in (f"{start}_x", f"{end}_x", f"{start}_y", f"{end}_y"))
     x_key, y_key = F.col(f"{version_key}_x"), F.col(f"{version_key}_y")
     pairs = slots.join(starts, [*keys, "_slot"], "inner").where(

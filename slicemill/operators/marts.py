@@ -26,9 +26,9 @@ def shot_measures() -> list[Column]:
             F.sum("xg").alias("xg")]
 
 
-def in_play(fact: DataFrame, start, end, bucket: str | None = None) -> DataFrame:
+def in_play(fact: DataFrame, start, end) -> DataFrame:
     """Shots of the slice without the shoot-out."""
-    return date_slice(fact.where(~F.col("is_shootout")), "match_date", start, end, bucket)
+    return date_slice(fact.where(~F.col("is_shootout")), "match_date", start, end)
 
 
 def mart_team_day(fact: DataFrame, teams: DataFrame, matches: DataFrame, start, end, run_id: str) -> DataFrame:
@@ -56,14 +56,13 @@ def mart_team_day(fact: DataFrame, teams: DataFrame, matches: DataFrame, start,
     return stamp(mart, lo, hi, run_id)
 
 
-def team_day(fact: DataFrame, source: str, start, end, bucket: str | None = None,
-             keys_only: DataFrame | None = None, sort: bool = True) -> DataFrame:
+def team_day(fact: DataFrame, source: str, start, end, keys_only: DataFrame | None = None,
+             sort: bool = True) -> DataFrame:
     """Mart straight from the fact for one source and slice, unrounded and ordered.
 
-    ``bucket`` is the year partition column when the layout has one; ``keys_only`` restricts the
-    fact to a control list of matches.
+    ``keys_only`` restricts the fact to a control list of matches.
     """
-    rows = in_play(fact.where(F.col("source_system") == source), start, end, bucket)
+    rows = in_play(fact.where(F.col("source_system") == source), start, end)
     if keys_only is not None:
         rows = rows.join(keys_only.select("match_id"), "match_id", "left_semi")
     out = (rows.groupBy(*MART_KEY).agg(*shot_measures())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,15 +122,28 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, input_dir: str):
         self.spark, self.root, self.input_dir = spark, root.rstrip("/"), input_dir.rstrip("/")
         self.mart = PublishedMart(spark, f"{self.root}/publish")
-        self._registry: str | None = None
 
     # raw layer
 
+    def _issued(self) -> tuple[DataFrame, int]:
+        """All batches that ever got an id, with ``live``, and the number of this registry version.
+
+        The versions are stored below the root, so another process goes on where this one ended.
+        """
+        try:
+            every = self.spark.read.schema(f"{REGISTRY}, live boolean, version int").parquet(f"{self.root}/raw/registry")
+            newest = every.agg(F.max("version")).first()[0]
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            newest = None
+        if newest is None:
+            return values(self.spark, [], f"{REGISTRY}, live boolean"), 0
+        return every.where(F.col("version") == newest).drop("version"), newest
+
     def registry(self) -> DataFrame:
-        """Batches now loaded: the newest registry version."""
-        if self._registry is None:
-            return values(self.spark, [], REGISTRY)
-        return self.spark.read.schema(REGISTRY).parquet(self._registry)
+        """Batches now loaded: the live ones of the newest registry version."""
+        return self._issued()[0].where("live").drop("live")
 
     def manifest(self, scenario: str) -> DataFrame:
         """Files of a scenario in manifest order."""
@@ -149,24 +163,29 @@ class Warehouse:
         A manifest names files, so its rows may pass through the driver as paths do in every read.
         """
         manifest = self.manifest(scenario)
+        issued, version = self._issued()
+        known = issued.where("live").drop("live")
         listed = [f"{self.input_dir}/{r['file_path']}" for r in manifest.select("file_path").distinct().collect()]
         found = files.file_fingerprints(self.spark, listed).select(
             self._relative().alias("file_path"), F.col("sha256").alias("file_sha256"), "row_count")
         plan_path = work_path(self.spark, "batch-plan")
-        files.plan_batches(manifest, self.registry(), found).write.parquet(plan_path)
+        files.plan_batches(manifest, known, found).write.parquet(plan_path)
         plan = self.spark.read.parquet(plan_path)
-        after = f"{self.root}/raw/registry/{run_id}-{plan_path[-32:]}"
-        files.apply_batches(plan, self.registry(), run_id).write.parquet(after)
+        after = work_path(self.spark, "registry")
+        files.apply_batches(plan, known, run_id, issued).write.parquet(after)
         registry = self.spark.read.schema(REGISTRY).parquet(after)
         new = registry.join(plan.where("action = 'load'").select(*files.BATCH_KEY), files.BATCH_KEY, "left_semi")
         fresh = [f"{self.input_dir}/{r['file_path']}" for r in new.select("file_path").distinct().collect()]
         if fresh:
             lines = files.read_envelopes(self.spark, fresh).withColumn("file", self._relative())
-            rows = files.raw_rows(lines, new)
+            rows = files.raw_rows(lines, new).hint("rebalance", "entity", "batch_id")
             # only the folders of these batches are replaced, so a repeated attempt adds nothing twice
             (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("entity", "batch_id").parquet(f"{self.root}/raw/rows"))
-        self._registry = after
+        # only now do the new rows count; ids of dropped batches are kept and never given again
+        gone = issued.join(registry.select("batch_id"), "batch_id", "left_anti").select(*registry.columns, F.lit(False).alias("live"))
+        (registry.withColumn("live", F.lit(True)).unionByName(gone).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.root}/raw/registry/version={version + 1}"))
         return plan
 
     def raw(self) -> dict[str, DataFrame]:

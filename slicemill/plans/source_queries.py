@@ -103,13 +103,26 @@ def source_manifest(spark, sf_dir):
 @query("fingerprint_by_lines", "SRC-17 SRC-07", """
 SELECT event_type AS kind, true AS by_lines, count(*) AS row_count FROM events GROUP BY event_type""")
 def fingerprint_by_lines(spark, sf_dir):
-    """Files above the whole-file limit get an order-free line digest instead of a byte hash."""
+    """Files too large for one task get a digest of their numbered lines instead of a byte hash."""
     path = event_lines(spark, sf_dir, "large")
-    f = files.file_fingerprints(spark, f"{path}/*", whole_bytes=0)
+    f = files.file_fingerprints(spark, f"{path}/*", method="lines")
     return f.groupBy(F.regexp_extract("file", r"kind=(\w+)", 1).alias("kind")).agg(
         F.bool_and(F.col("sha256").startswith("lines:")).alias("by_lines"), F.sum("row_count").alias("row_count"))
 
 
+@query("fingerprint_order", "SRC-17 SRC-07", "SELECT 2 AS files, 2 AS hashes, 1 AS contents FROM events LIMIT 1")
+def fingerprint_order(spark, sf_dir):
+    """Two files with the same lines in another order have different hashes by either method."""
+    rows = table(spark, sf_dir, "events").select(F.concat_ws(" ", "event_id", "event_type").alias("value"), "event_id")
+    path = work_path(spark, "orders-of-lines")
+    for name, order in (("up", F.asc("event_id")), ("down", F.desc("event_id"))):
+        rows.coalesce(1).sortWithinPartitions(order).select("value").write.text(f"{path}/{name}")
+    both = [files.file_fingerprints(spark, f"{path}/*/*.txt", method=m) for m in ("bytes", "lines")]
+    found = both[0].join(both[1].select("file", F.col("sha256").alias("by_lines")), "file")
+    return found.agg(F.count(F.lit(1)).alias("files"), F.least(F.count_distinct("sha256"), F.count_distinct("by_lines")).alias("hashes"),
+                     F.count_distinct("row_count").alias("contents"))
+
+
 def batch_inputs(spark, sf_dir, name):
     """Manifest, registry and files for the event batches of one run.
 

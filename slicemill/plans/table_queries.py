@@ -86,6 +86,17 @@ def year_layout_mart(spark, sf_dir):
     return team_day(rows, "main", *NARROW)
 
 
+OLD = (dt.date(1996, 2, 1), dt.date(1996, 5, 1))
+
+
+@query("old_bucket_slice", "FLT-01 SNK-13", team_day_sql(OLD))
+def old_bucket_slice(spark, sf_dir):
+    """A slice older than the first yearly partition is read from the partition of all older days."""
+    path, first = work_path(spark, "fact-old-bucket"), 1998
+    datasets.write_by_year(fact(spark, sf_dir), path, "match_date", LOWEST, first, LAST_YEAR)
+    return team_day(spark.read.parquet(path).where(datasets.slice_partitions(*OLD, first)), "main", *OLD)
+
+
 @query("pruned_partitions", "C-24 SNK-13", f"""WITH y AS (
   SELECT DISTINCT greatest(year(l_shipdate), {FIRST_YEAR - 1}) AS y FROM lineitem)
 SELECT s.slice, CAST(count(*) FILTER (WHERE y BETWEEN s.lo AND s.hi) AS BIGINT) AS read, count(*) AS total

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,7 +31,8 @@ def build_session(app: str = "slicemill", master: str | None = None, **conf: str
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a laptop) a new folder is made and set for the session.
+    Only where that is unset and the master is local (tests, a laptop) a new folder is made and set for
+    the session; on a cluster a folder of one machine would lose what other machines write.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -38,6 +40,8 @@ def shared_root(spark: SparkSession) -> str:
     already = spark.sparkContext.getCheckpointDir()
     if already:
         return already.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(made)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -15,15 +15,13 @@ WEATHER_DOC = ("hourly struct<time: array<string>, temperature_2m: array<double>
 def flatten_parallel_arrays(df: DataFrame, anchor: Column, cols: Mapping[str, Column]) -> DataFrame:
     """One row per element of ``anchor`` with the elements of the parallel arrays beside it.
 
-    An absent array gives a NULL column and keeps the rows. Names: ``anchor`` and the keys of
-    ``cols``; the other columns of ``df`` are carried along.
+    The anchor alone decides the rows: an absent or shorter array gives NULLs, what a longer one has
+    beyond it is not read. Names: ``anchor`` and the keys of ``cols``; the other columns of ``df``
+    are carried along.
     """
-    arrays = {"anchor": anchor}
-    for name, c in cols.items():
-        arrays[name] = F.coalesce(c, F.array_repeat(F.lit(None), F.size(anchor)))
-    held = df.select("*", F.arrays_zip(*[a.alias(n) for n, a in arrays.items()]).alias("_zip"))
-    zipped = held.select(*df.columns, F.explode("_zip").alias("_e"))
-    return zipped.select(*df.columns, *[F.col("_e").getItem(n).alias(n) for n in arrays])
+    rows = F.transform(anchor, lambda a, i: F.struct(a.alias("anchor"), *[F.get(c, i).alias(n) for n, c in cols.items()]))
+    zipped = df.select(*df.columns, F.explode(rows).alias("_e"))
+    return zipped.select(*df.columns, *[F.col("_e").getItem(n).alias(n) for n in ["anchor", *cols]])
 
 
 def flatten_weather(docs: DataFrame) -> DataFrame:
@@ -55,7 +53,7 @@ def match_id_of(file: str | Column = "file") -> Column:
 
 
 def flatten_matches(docs: DataFrame, skip_stage: str | None = "Group Stage") -> DataFrame:
-    """Nested match documents as flat rows, without the group stage, ordered by date and id."""
+    """Nested match documents as flat rows, without the group stage, ordered by date and id; no stage is kept."""
     flat = docs.select(
         F.col("match_id").cast("bigint").alias("match_id"), F.col("match_date").cast("date").alias("match_date"),
         F.col("competition.competition_id").cast("int").alias("competition_id"),
@@ -69,7 +67,7 @@ def flatten_matches(docs: DataFrame, skip_stage: str | None = "Group Stage") ->
         F.col("home_score").cast("int").alias("home_score"), F.col("away_score").cast("int").alias("away_score"),
         F.col("last_updated").cast("timestamp_ntz").alias("last_updated"))
     if skip_stage is not None:
-        flat = flat.where(F.col("stage_name") != skip_stage)
+        flat = flat.where(~F.col("stage_name").eqNullSafe(skip_stage))
     return flat.orderBy("match_date", "match_id")
 
 

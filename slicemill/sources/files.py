@@ -12,8 +12,6 @@ from slicemill.operators.relations import not_in_keys
 
 ENTITIES = ["matches", "shots"]
 BATCH_KEY = ["source_system", "entity", "file_path", "file_sha256"]
-# Files up to this size are hashed byte for byte by one task each; larger ones by lines, spread out.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
 
 
 # --- typed readers -----------------------------------------------------------------------------
@@ -40,6 +38,11 @@ def sql_on_path(spark: SparkSession, path: str, where: str = "true") -> DataFram
     return spark.sql(f"SELECT * FROM parquet.`{path}` WHERE {where}")
 
 
+def decoded(path: Column) -> Column:
+    """The path of a file from its URL form in the metadata, as manifests and listings name it."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 # --- numbering ---------------------------------------------------------------------------------
 
 def number_rows(scan: DataFrame, name: str, file: str | None = None) -> DataFrame:
@@ -47,8 +50,9 @@ def number_rows(scan: DataFrame, name: str, file: str | None = None) -> DataFram
 
     A file is read as blocks, each by one task in order. The id Spark gives to rows grows by one
     inside a block, so a row's place in its block is its id minus the block's smallest id, and its
-    place in the file adds the rows of the blocks before. Only one row per block is shuffled; the
-    rows themselves stay where they were read. A recomputed task gets the same ids.
+    place in the file adds the rows of the blocks before. The files are read twice, once for the
+    counts per block, and the rows meet their block's offset in a join by block, which shuffles them
+    unless the offsets are small enough to be broadcast. A recomputed task gets the same ids.
     ``file`` keeps the path of the file under that name.
     """
     cols = scan.columns
@@ -61,14 +65,14 @@ def number_rows(scan: DataFrame, name: str, file: str | None = None) -> DataFram
                             F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     out = tagged.join(offsets, ["_file", "_block"], "inner")
     number = F.col("_before") + F.col("_id") - F.col("_first") + 1
-    return out.select(*cols, number.alias(name), *([F.col("_file").alias(file)] if file else []))
+    return out.select(*cols, number.alias(name), *([decoded(F.col("_file")).alias(file)] if file else []))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Non-blank lines with their file and their number among the non-blank lines of that file."""
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"))
-    lines = text.where(F.trim("value") != "")
-    return number_rows(lines, "line_no")
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_path"))
+    lines = number_rows(text.where(F.trim("value") != ""), "line_no")
+    return lines.select("value", decoded(F.col("_path")).alias("file"), "line_no")
 
 
 def read_envelopes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -82,23 +86,28 @@ def read_envelopes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 # --- fingerprints and manifests ----------------------------------------------------------------
 
-def file_fingerprints(spark: SparkSession, paths: str | list[str], whole_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+def file_fingerprints(spark: SparkSession, paths: str | list[str], method: str = "bytes") -> DataFrame:
     """(file, sha256, row_count) per file.
 
-    ``sha256`` is the hash of the bytes. Only for text files above ``whole_bytes``, which no single
-    task should hold, is it the hash of the file's order-free line digest, prefixed ``lines:``.
+    ``bytes`` hashes the whole content, one file in one task, up to the 2 GB that a value can hold.
+    ``lines`` is the caller's choice for larger files: a digest of the numbered lines, which is spread out and sees
+    their order, prefixed ``lines:``. A registry should stay with one method: the other gives other hashes.
     """
-    binary = spark.read.format("binaryFile").load(paths)
-    small = binary.where(F.col("length") <= whole_bytes).select(
-        F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"))
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"),
-                                         F.col("_metadata.file_size").alias("_size"))
+    text = spark.read.text(paths).select("value", decoded(F.col("_metadata.file_path")).alias("file"))
     counts = text.groupBy("file").agg(F.count_if(F.trim("value") != "").alias("row_count"))
-    n, hi, lo = digest_parts(["value"])
-    large = text.where(F.col("_size") > whole_bytes).groupBy("file").agg(n, hi, lo).select(
-        "file", F.concat(F.lit("lines:"), F.sha2(F.concat_ws(":", "n", "hi", "lo"), 256)).alias("sha256"))
-    hashes = small.unionByName(large)
-    # an empty file has bytes to hash but no lines
+    binary = spark.read.format("binaryFile").load(paths)
+    if method == "bytes":
+        hashes = binary.select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"))
+    elif method == "lines":
+        n, hi, lo = digest_parts(["line_no", "value"])
+        lines = number_rows(spark.read.text(paths), "line_no", "file").groupBy("file").agg(n, hi, lo)
+        lines = lines.select("file", F.concat_ws(":", "n", "hi", "lo").alias("_text"))
+        # the listing knows files without lines, too
+        hashes = binary.select(F.col("path").alias("file")).join(lines, "file", "left").select(
+            "file", F.concat(F.lit("lines:"), F.sha2(F.coalesce("_text", F.lit("")), 256)).alias("sha256"))
+    else:
+        raise ValueError(f"unknown method: {method}")
+    # a file of blank lines has bytes to hash but no rows; one without bytes is not in the scan
     return hashes.join(counts, "file", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0)))
 
 
@@ -117,7 +126,9 @@ def plan_batches(manifest: DataFrame, registry: DataFrame, files: DataFrame) ->
     """
     known = F.when(F.col("entity").isin(ENTITIES), F.col("entity")).otherwise(
         F.raise_error(F.concat(F.lit("unknown entity: "), F.coalesce("entity", F.lit("NULL")))))
-    wanted = (manifest.withColumn("entity", known).join(files, "file_path", "inner")
+    # a listed file without content is not among the files that a scan finds
+    wanted = (manifest.withColumn("entity", known).join(files, "file_path", "left")
+              .withColumns({"file_sha256": F.coalesce("file_sha256", F.sha2(F.lit(b""), 256)), "row_count": F.coalesce("row_count", F.lit(0))})
               .select(*BATCH_KEY, "batch_seq", "scenario", "row_count"))
     have = registry.select(*BATCH_KEY, F.col("batch_id").alias("_batch_id"), F.col("row_count").alias("_rows"),
                            F.col("batch_seq").alias("_seq"), F.col("scenario").alias("_scenario"))
@@ -129,12 +140,13 @@ def plan_batches(manifest: DataFrame, registry: DataFrame, files: DataFrame) ->
                        F.coalesce("row_count", "_rows").alias("row_count"), action.alias("action"))
 
 
-def apply_batches(plan: DataFrame, registry: DataFrame, run_id: str) -> DataFrame:
+def apply_batches(plan: DataFrame, registry: DataFrame, run_id: str, issued: DataFrame | None = None) -> DataFrame:
     """The registry after a plan: dropped batches gone, skipped ones refreshed, new ones added.
 
-    A new batch is numbered above all earlier ones by its place in the manifest.
+    A new batch is numbered above all ids ever given (``issued``; without it those of the registry) by its
+    place in the manifest, so that the id of a dropped batch never comes back.
     """
-    top = registry.agg(F.coalesce(F.max("batch_id"), F.lit(0)).alias("top"))
+    top = (registry if issued is None else issued).agg(F.coalesce(F.max("batch_id"), F.lit(0)).alias("top"))
     new_id = top.scalar() + F.col("batch_seq")
     meta = registry.select(F.col("batch_id").alias("_b"), F.col("run_id").alias("_run"),
                            F.col("loaded_at").alias("_at"))

@@ -57,10 +57,28 @@ def test_envelopes_and_fingerprints(spark, tmp_path):
     assert got == [(1, '{"v":1}', 5), (2, "{}", 6)]
     row = files.file_fingerprints(spark, str(path)).first()
     assert (row["sha256"], row["row_count"]) == (hashlib.sha256(path.read_bytes()).hexdigest(), 2)
-    large = files.file_fingerprints(spark, str(path), whole_bytes=1).first()
+    large = files.file_fingerprints(spark, str(path), method="lines").first()
     assert large["sha256"].startswith("lines:") and large["row_count"] == 2
 
 
+@pytest.mark.parametrize("method", ["bytes", "lines"])
+def test_fingerprints_see_the_order_and_odd_names(spark, tmp_path, method):
+    (tmp_path / "up 1+2%.txt").write_text("a\nb\n")
+    (tmp_path / "down é.txt").write_text("b\na\n")
+    (tmp_path / "blank.txt").write_text("\n")
+    got = {r["file"].rsplit("/", 1)[1]: (r["sha256"], r["row_count"]) for r in files.file_fingerprints(spark, str(tmp_path), method=method).collect()}
+    assert {n: c for n, (_, c) in got.items()} == {"up 1+2%.txt": 2, "down é.txt": 2, "blank.txt": 0}
+    assert len({h for h, _ in got.values()}) == 3
+    names = {r["file"].rsplit("/", 1)[1] for r in files.read_lines(spark, str(tmp_path)).collect()}
+    assert names == {"up 1+2%.txt", "down é.txt"}
+
+
+def test_longer_arrays_add_no_rows(spark):
+    df = spark.createDataFrame([(1, ["t1", "t2"], [1.0, 2.0, 3.0], None), (2, ["t3"], [], [9.0])], "id int, t array<string>, a array<double>, b array<double>")
+    out = documents.flatten_parallel_arrays(df, F.col("t"), {"x": F.col("a"), "y": F.col("b")})
+    assert sorted((r["id"], r["anchor"], r["x"], r["y"]) for r in out.collect()) == [(1, "t1", 1.0, None), (1, "t2", 2.0, None), (2, "t3", None, 9.0)]
+
+
 def test_unknown_entity_is_refused(spark):
     m = values(spark, [("a", "passes", "s", 1, "x")], "file_path string, entity string, source_system string, batch_seq int, scenario string")
     reg = values(spark, [], "batch_id bigint, batch_seq int, scenario string, source_system string, entity string, "

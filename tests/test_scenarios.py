@@ -171,3 +171,30 @@ def test_missing_slice_is_an_error(house):
         house.run("baseline", None, "2024-07-15", "run-15")
     with pytest.raises(ValueError, match="empty slice"):
         house.run("baseline", "2024-07-15", "2024-07-15", "run-15")
+
+
+def test_batches_keep_their_identity(spark, tmp_path):
+    """Dropped batches stay dropped, ids are not given twice, and another process goes on from the stored registry."""
+    fb.write_inputs(tmp_path / "in")
+    (tmp_path / "in/baseline/shots 2+é.jsonl").write_bytes((tmp_path / "in/baseline/shots.jsonl").read_bytes())
+    listed = {"a": ["baseline/matches.jsonl", "baseline/shots.jsonl", "scenarios/partner_matches.jsonl"],
+              "b": ["baseline/matches.jsonl", "baseline/shots.jsonl"],
+              "c": ["scenarios/two_managers.jsonl", "baseline/matches.jsonl", "baseline/shots.jsonl"],
+              "d": ["baseline/matches.jsonl", "baseline/shots 2+é.jsonl"]}
+    for name, paths in listed.items():
+        entries = [{"path": p, "entity": "shots" if "shots" in p else "matches", "source_system": "s"} for p in paths]
+        (tmp_path / f"in/manifests/{name}.json").write_text(fb.json.dumps({"scenario": name, "description": "", "files": entries}))
+    root = str(tmp_path / "house")
+    seen, counts = {}, {}
+    for name in listed:
+        house = Warehouse(spark, root, str(tmp_path / "in"))  # as after a restart
+        actions = {r["file_path"]: r["action"] for r in house.load_raw(name, f"run-{name}").collect()}
+        for r in house.registry().collect():
+            assert seen.setdefault(r["batch_id"], r["file_path"]) == r["file_path"]
+        raw = house.raw()
+        counts[name] = (raw["matches"].count(), raw["shots"].count())
+        if name in "bc":
+            assert actions["baseline/matches.jsonl"] == actions["baseline/shots.jsonl"] == "skip"
+    shots = len(fb.shots())
+    assert counts == {"a": (5, shots), "b": (4, shots), "c": (5, shots), "d": (4, shots)}
+    assert house.registry().where("file_path like '%shots 2%'").first()["row_count"] == shots
