@@ -216,11 +216,11 @@ def managers_unnest(spark, sf_dir):
 @query("explode_keep_words", "JOI-11 SCA-01", """
 SELECT conv_id, turn, w AS word, count(*) AS n FROM (
   SELECT conv_id, turn, unnest(CASE WHEN len(f) = 0 THEN [NULL] ELSE f END) AS w FROM (
-    SELECT conv_id, turn, list_filter(string_split(text, ' '), lambda x: x <> '' AND length(x) > 12) AS f FROM conversations))
+    SELECT conv_id, turn, list_filter(string_split(text, ' '), lambda x: x <> '') AS f FROM conversations))
 GROUP BY ALL""")
 def explode_keep_words(spark, sf_dir):
-    """Long words of every turn; a turn without any keeps one row."""
-    words = F.filter(F.split("text", " ", -1), lambda x: (x != "") & (F.length(x) > 12))
+    """Words of every turn; a turn without any keeps one row."""
+    words = F.filter(F.split("text", " ", -1), lambda x: x != "")
     rows = explode_keep(table(spark, sf_dir, "conversations").select("conv_id", "turn", words.alias("w")), "w", "word")
     return rows.groupBy("conv_id", "turn", "word").agg(F.count(F.lit(1)).alias("n"))
 

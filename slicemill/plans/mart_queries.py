@@ -62,7 +62,7 @@ def derived_flags(spark, sf_dir):
                      {"n": F.count(F.lit(1))})
 
 
-# --- the published-mart queries over a mart of the wide slice ------------------------------------
+# --- the published-mart queries over a mart of all days and sources ------------------------------
 
 MART_SQL = f"""{FACT_SQL},
 mart AS (
@@ -73,14 +73,13 @@ mart AS (
          count(*) FILTER (WHERE is_goal AND is_penalty) AS penalty_goals, sum(xg) AS xg,
          count(*) FILTER (WHERE is_goal) - sum(xg) AS goals_minus_xg
   FROM fact f JOIN supplier s ON f.team_id = s.s_suppkey
-  WHERE f.source_system = 'main' AND NOT is_shootout
-    AND match_date >= DATE '{WIDE[0]}' AND match_date < DATE '{WIDE[1]}'
-  GROUP BY ALL)"""
+  WHERE NOT is_shootout GROUP BY ALL)"""
 
 
-def wide_mart(spark, sf_dir):
-    """Team-day mart of the wide slice with team and manager names from supplier."""
-    day = marts.team_day(fact_slice(spark, sf_dir, *WIDE), "main", *WIDE, sort=False)
+def whole_mart(spark, sf_dir):
+    """Team-day mart of the whole fact with team and manager names from supplier."""
+    shots = fact(spark, sf_dir).where(~F.col("is_shootout"))
+    day = shots.groupBy(*marts.MART_KEY).agg(*marts.shot_measures()).withColumn("goals_minus_xg", F.col("goals") - F.col("xg"))
     names = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("team_id"), F.col("s_name").alias("team_name"),
         F.concat(F.lit("Nation "), F.col("s_nationkey").cast("string")).alias("manager_name"))
@@ -93,7 +92,7 @@ SELECT CAST(match_date AS VARCHAR) AS match_date, team_name, manager_name, manag
        CAST(goals_minus_xg AS DOUBLE) AS goals_minus_xg
 FROM mart WHERE match_date = DATE '1998-06-18'""")
 def day_detail(spark, sf_dir):
-    mart = wide_mart(spark, sf_dir).withColumn("opponent_name", F.col("manager_name"))
+    mart = whole_mart(spark, sf_dir).withColumn("opponent_name", F.col("manager_name"))
     return marts.day_detail(mart, dt.date(1998, 6, 18))
 
 
@@ -104,7 +103,7 @@ SELECT CAST(match_date AS VARCHAR) AS match_date, min(manager_name) AS competiti
        CAST(round(sum(goals) - sum(xg), 2) AS DOUBLE) AS goals_minus_xg
 FROM mart GROUP BY match_date""")
 def day_totals(spark, sf_dir):
-    mart = wide_mart(spark, sf_dir).withColumns({"competition_name": F.col("manager_name"),
+    mart = whole_mart(spark, sf_dir).withColumns({"competition_name": F.col("manager_name"),
                                                 "stage_name": F.col("team_name")})
     return marts.day_totals(mart)
 
@@ -116,7 +115,7 @@ SELECT team_name, manager_name, count(*) AS matches, CAST(sum(shots) AS BIGINT)
        floor((sum(goals) * 200.0 / count(*) + 1) / 2) / 100.0 AS goals_per_match
 FROM mart GROUP BY team_name, manager_name""")
 def manager_ratios(spark, sf_dir):
-    return marts.manager_ratios(wide_mart(spark, sf_dir))
+    return marts.manager_ratios(whole_mart(spark, sf_dir))
 
 
 @query("top_finishers", "Q-15 AGG-12 SRT-02", f"""WITH {MART_SQL}
@@ -125,7 +124,7 @@ SELECT team_name, count(*) AS matches, CAST(sum(goals) AS BIGINT) AS goals,
 FROM mart GROUP BY team_name
 ORDER BY round(sum(goals) - sum(xg), 2) DESC, team_name LIMIT 5""")
 def top_finishers(spark, sf_dir):
-    return marts.top_finishers(wide_mart(spark, sf_dir))
+    return marts.top_finishers(whole_mart(spark, sf_dir))
 
 
 @query("order_by_hidden", "SRT-04", f"""WITH {EXACT_ORDERS_SQL}

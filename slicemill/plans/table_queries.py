@@ -12,6 +12,7 @@ from slicemill.operators import quality
 from slicemill.operators.compare import tables_equal, verify_copy
 from slicemill.operators.marts import MART_KEY, team_day
 from slicemill.operators.relations import cached, distinct_rows
+from slicemill.plans.compare_queries import COLS, digest_sql
 from slicemill.plans.mart_queries import MEASURES_SQL, team_day_sql
 from slicemill.plans.quality_queries import KEY, SPLIT_SQL, line_rules
 from slicemill.plans.registry import query, table
@@ -125,10 +126,11 @@ def clustered_roundtrip(spark, sf_dir):
 
 @query("load_core", "SNK-16 PRJ-03", """
 SELECT l_orderkey AS match_id, l_suppkey AS team_id, CAST(count(*) FILTER (WHERE l_linenumber = 5) AS BIGINT) AS shootout,
-       CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS goals, CAST(sum(CAST(l_discount AS DECIMAL(12,10))) AS DOUBLE) AS xg
-FROM lineitem GROUP BY l_orderkey, l_suppkey""")
+       CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS goals, CAST(sum(CAST(l_discount AS DECIMAL(12,10))) AS DOUBLE) AS xg,
+       CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS match_date, CAST(min(o_custkey) AS BIGINT) AS home_team_id
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY l_orderkey, l_suppkey""")
 def load_core(spark, sf_dir):
-    """Flat staging to the star, written and read back."""
+    """Flat staging to the star, both parts written, read back and joined."""
     from slicemill.operators.star import load_core as load
     shots = table(spark, sf_dir, "lineitem").select(
         F.to_date("l_shipdate").alias("match_date"), F.lit("main").alias("source_system"),
@@ -144,11 +146,15 @@ def load_core(spark, sf_dir):
         F.lit("Final").alias("stage_name"), F.col("o_custkey").alias("home_team_id"), F.lit("h").alias("home_team_name"),
         F.col("o_custkey").alias("away_team_id"), F.lit("a").alias("away_team_name"), F.lit(1).alias("home_score"),
         F.lit(1).alias("away_score"))
-    _, rows = load(matches, shots, "main")
-    path = work_path(spark, "core")
-    rows.write.parquet(path)
-    return spark.read.parquet(path).groupBy("match_id", "team_id").agg(
+    stored = []
+    for name, part in zip(("match", "fact"), load(matches, shots, "main")):
+        path = work_path(spark, f"core-{name}")
+        part.write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    match, rows = stored
+    sums = rows.groupBy("match_id", "team_id").agg(
         F.count_if("is_shootout").alias("shootout"), F.count_if("is_goal").alias("goals"), F.sum("xg").alias("xg"))
+    return sums.join(match.select("match_id", "match_date", "home_team_id"), "match_id")
 
 
 # --- batches and snapshots ---------------------------------------------------------------------
@@ -383,15 +389,15 @@ def guarded_append(spark, sf_dir):
 SELECT c AS check, true AS ok, CASE c WHEN 'schema' THEN '6' WHEN 'nulls' THEN '0' ELSE CAST(n AS VARCHAR) END AS detail
 FROM (SELECT count(*) AS n FROM orders), (VALUES ('schema'), ('rows'), ('nulls'), ('unique_key')) AS t(c)
 UNION ALL SELECT 'control_rows', true, CAST(count(*) AS VARCHAR) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
-UNION ALL SELECT 'query_by_priority', true, CAST(count(DISTINCT o_orderpriority) AS VARCHAR) FROM orders""")
+UNION ALL SELECT 'query_by_priority', true, CAST(count(DISTINCT o_orderpriority) AS VARCHAR) FROM orders
+UNION ALL SELECT 'content', true, checksum FROM (SELECT """ + digest_sql(COLS) + f" AS checksum FROM (WITH {EXACT_ORDERS_SQL} SELECT * FROM eo))")
 def copy_verified(spark, sf_dir):
     o = exact_orders(spark, sf_dir)
     path = work_path(spark, "copy")
     datasets.write_clustered(o, path, ["o_orderstatus", "day"])
     control = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    report = verify_copy(o, spark.read.parquet(path), ["o_orderkey"], control, ["o_custkey"],
-                         {"by_priority": lambda d: d.groupBy("o_orderpriority").agg(F.sum("price").alias("price"))})
-    return report.where("check <> 'content' or not ok")
+    return verify_copy(o, spark.read.parquet(path), ["o_orderkey"], control, ["o_custkey"],
+                       {"by_priority": lambda d: d.groupBy("o_orderpriority").agg(F.sum("price").alias("price"))})
 
 
 @query("sizes", "SNK-18 SNK-19 SRC-03", "SELECT count(*) AS rows, true AS csv_larger FROM lineitem")

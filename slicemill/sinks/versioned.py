@@ -176,19 +176,23 @@ class PublishedMart:
         self.cols, self.key, self.date = list(cols), list(key), date
         self.log = _Log(spark, f"{root}/log", PUBLICATION_LOG)
 
-    def _owner(self) -> DataFrame:
-        """The owning publication of every published day: one row per calendar day at most."""
-        days = F.sequence("slice_start", F.date_sub("slice_end", 1), F.expr("interval 1 day"))
-        covered = self.log.read().select("publication_id", F.explode(days).alias(self.date))
-        return covered.groupBy(self.date).agg(F.max("publication_id").alias("publication_id"))
+    def _owner(self, data: DataFrame) -> DataFrame:
+        """The owning publication of every day of the data: one row per calendar day at most.
+
+        Slices are cut to the days that the data have, so an open end adds nothing.
+        """
+        span = data.agg(F.min(self.date).alias("lo"), F.max(self.date).alias("hi"))
+        log = with_scalar(self.log.read(), span)
+        first, last = F.greatest("slice_start", "lo"), F.least(F.date_sub("slice_end", 1), F.col("hi"))
+        log = log.where(first <= last).select("publication_id", F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias(self.date))
+        return log.groupBy(self.date).agg(F.max("publication_id").alias("publication_id"))
 
     def rows(self) -> DataFrame:
         """Published rows; none, with the mart's columns, before the first publication."""
         if self.schema and self.log.read().isEmpty():
             return values(self.spark, [], self.schema)
         data = self.spark.read.option("mergeSchema", False).parquet(f"{self.root}/data")
-        # one row per calendar day bounds the broadcast; it also prunes superseded folders at run time
-        return data.join(F.broadcast(self._owner()), ["publication_id", self.date], "left_semi").drop("publication_id")
+        return data.join(self._owner(data), ["publication_id", self.date], "left_semi").drop("publication_id")
 
     def view(self) -> DataFrame:
         """What consumers read: the rows with the time of the last successful publication."""
