@@ -281,14 +281,17 @@ def recount(events: DataFrame, matches: DataFrame) -> DataFrame:
     return out.withColumn("score_ok", F.col("goals") + F.col("own_goals_for") == F.col("score"))
 
 
-def reconcile(events: DataFrame, matches: DataFrame, published: DataFrame, source: str) -> DataFrame:
+def reconcile(events: DataFrame, matches: DataFrame, published: DataFrame, source: str | None = None) -> DataFrame:
     """Recounted rows of one source beside the rows published for it, with both verdicts.
 
+    ``source`` picks the published rows; without it they must be of one source already.
+
     A side without a published row is a mismatch; extra published rows are not looked at, as the
     recount drives the comparison.
     """
     calc = recount(events, matches)
-    pub = published.where(F.col("source_system") == source).select("team_id", "match_date", *[F.col(c).alias(f"pub_{c}") for c in
+    own = published if source is None else published.where(F.col("source_system") == source)
+    pub = own.select("team_id", "match_date", *[F.col(c).alias(f"pub_{c}") for c in
                                                       ("shots", "shots_on_target", "goals", "xg")])
     same = F.lit(True)
     for c in ("shots", "shots_on_target", "goals"):

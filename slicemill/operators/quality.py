@@ -90,6 +90,18 @@ class QueryRule:
     severity: str = ERROR
 
 
+@dataclass(frozen=True)
+class GroupRule(QueryRule):
+    """A rule on the groups of ``cols`` in ``table``; those of one table share a pass.
+
+    Groups that ``asked`` leaves out are not looked at; a group is a violation if it has more than ``most`` rows.
+    """
+    table: DataFrame = field(compare=False, default=None)
+    cols: tuple[str, ...] = ()
+    asked: Column = field(compare=False, default=None)
+    most: int = 1
+
+
 def not_null(relation: str, col: str, severity: str = ERROR) -> RowRule:
     return RowRule(f"not_null_{relation}_{col}", relation, F.col(col).isNull(), severity)
 
@@ -115,16 +127,18 @@ def unexpected_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 def unique(relation: str, df: DataFrame, col: str, severity: str = ERROR) -> QueryRule:
     present = df.where(F.col(col).isNotNull())
-    return QueryRule(f"unique_{relation}_{col}", relation, unique_combination(present, [col]), severity)
+    return GroupRule(f"unique_{relation}_{col}", relation, unique_combination(present, [col]), severity, df, (col,),
+                     F.col(col).isNotNull())
 
 
 def unique_key(relation: str, df: DataFrame, cols: Sequence[str], severity: str = ERROR) -> QueryRule:
     name = "_".join(["unique_combination", relation, *cols])
-    return QueryRule(name, relation, unique_combination(df, cols), severity)
+    return GroupRule(name, relation, unique_combination(df, cols), severity, df, tuple(cols), F.lit(True))
 
 
 def accepted_values(relation: str, df: DataFrame, col: str, values: Sequence, severity: str = ERROR) -> QueryRule:
-    return QueryRule(f"accepted_values_{relation}_{col}", relation, unexpected_values(df, col, values), severity)
+    return GroupRule(f"accepted_values_{relation}_{col}", relation, unexpected_values(df, col, values), severity, df, (col,),
+                     F.col(col).isNotNull() & ~in_set(col, values), 0)
 
 
 def relationships(relation: str, df: DataFrame, fk: Sequence[str], parent: DataFrame, pk: Sequence[str],
@@ -140,14 +154,18 @@ def violators(rule: RowRule | QueryRule, ctx: Mapping[str, DataFrame]) -> DataFr
 def run_rules(ctx: Mapping[str, DataFrame], rules: Sequence[RowRule | QueryRule]) -> DataFrame:
     """Report (rule, severity, status, failures), one row per rule, evaluated as a single job.
 
-    All row rules of a relation become counters of one aggregate, so a relation is read once for
-    them however many there are; the other rules are counted where they run.
+    All row rules of a relation become counters of one aggregate, and all rules on groups of a table
+    one grouping by (rule, group), so a relation is read once for each kind however many rules there
+    are; the other rules are counted where they run.
     """
     by_relation: dict[str, list[RowRule]] = {}
+    by_table: dict[int, list[GroupRule]] = {}
     parts: list[DataFrame] = []
     for rule in rules:
         if isinstance(rule, RowRule):
             by_relation.setdefault(rule.relation, []).append(rule)
+        elif isinstance(rule, GroupRule):
+            by_table.setdefault(id(rule.table), []).append(rule)
         else:
             parts.append(rule.violators.agg(F.count(F.lit(1)).alias("failures")).select(
                 F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"), "failures"))
@@ -156,6 +174,7 @@ def run_rules(ctx: Mapping[str, DataFrame], rules: Sequence[RowRule | QueryRule]
         lines = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"),
                           F.col(f"r{i}").alias("failures")) for i, r in enumerate(group)]
         parts.append(counted.select(F.inline(F.array(*lines))))
+    parts += [group_failures(group) for group in by_table.values()]
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
@@ -164,6 +183,23 @@ def run_rules(ctx: Mapping[str, DataFrame], rules: Sequence[RowRule | QueryRule]
     return report.select("rule", "severity", status.alias("status"), "failures")
 
 
+def group_failures(rules: Sequence[GroupRule]) -> DataFrame:
+    """(rule, severity, failures) of rules on one table, in one scan and one shuffle of their keys."""
+    def key(rule: GroupRule) -> Column:
+        group = F.to_json(F.struct(*[F.col(c) for c in rule.cols]), {"ignoreNullFields": "false"})
+        return F.when(rule.asked, F.struct(F.lit(rule.name).alias("rule"), group.alias("key")))
+
+    entries = rules[0].table.select(F.explode(F.array_compact(F.array(*[key(r) for r in rules]))).alias("e"))
+    sizes = entries.groupBy("e.rule", "e.key").agg(F.count(F.lit(1)).alias("n"))
+    bad = F.lit(False)
+    for r in rules:
+        bad = F.when(F.col("rule") == r.name, F.col("n") > r.most).otherwise(bad)
+    counted = sizes.where(bad).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    names = F.inline(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for r in rules]))
+    listed = rules[0].table.sparkSession.range(1).select(names)
+    return listed.join(counted, "rule", "left").select("rule", "severity", F.coalesce("n", F.lit(0)).alias("failures"))
+
+
 def gate(report: DataFrame) -> list[str]:
     """Names of the failed error-severity rules; publication is allowed when there are none.
 

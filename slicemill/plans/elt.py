@@ -15,6 +15,7 @@ from slicemill.operators import star
 from slicemill.operators.history import calendar, dim_team, observations
 from slicemill.operators.marts import MART_KEY, in_play, mart_team_day
 from slicemill.session import work_path
+from slicemill.sinks.datasets import store_failures
 from slicemill.sinks.versioned import PublicationRefused, PublishedMart
 from slicemill.sources import files
 from slicemill.sources.inline import values
@@ -114,6 +115,7 @@ class Run:
     failed: list[str]
     published: dict | None
     actions: DataFrame
+    violations: dict[str, str]
 
 
 class Warehouse:
@@ -226,8 +228,11 @@ class Warehouse:
         path = f"{self.root}/audit/report-{work_path(self.spark, 'r')[-32:]}"
         q.run_rules(ctx, tests).write.parquet(path)
         report = self.spark.read.parquet(path)
+        failed = q.gate(report)
+        # the violators of failed rules stay readable; one folder for each rule that failed
+        kept = {r.name: store_failures(r, ctx, path.replace("/report-", "/failures-")) for r in tests if r.name in set(failed)}
         try:
             done = self.mart.publish(ctx["mart"], lo, hi, run_id, scenario, report)
         except PublicationRefused:
             done = None
-        return Run(ctx, tests, report, q.gate(report), done, actions)
+        return Run(ctx, tests, report, failed, done, actions, kept)

@@ -274,12 +274,15 @@ def elt_trace(spark, sf_dir):
 SELECT 'not_null_fact_shot_team_version_key' AS rule, 'pass' AS status, CAST(count(*) FILTER (WHERE team_version_key IS NULL) AS BIGINT) AS failures FROM fact
 UNION ALL SELECT 'value_between_fact_shot_xg', 'fail', CAST(count(*) FILTER (WHERE xg > 0.05) AS BIGINT) FROM fact
 UNION ALL SELECT 'unique_fact_shot_shot_key', 'pass', (SELECT count(*) FROM (SELECT shot_key FROM fact GROUP BY 1 HAVING count(*) > 1))
+UNION ALL SELECT 'unique_combination_fact_shot_match_key_period', 'fail', (SELECT count(*) FROM (SELECT match_key, period FROM fact GROUP BY ALL HAVING count(*) > 1))
+UNION ALL SELECT 'accepted_values_fact_shot_outcome', 'warn', (SELECT count(DISTINCT outcome) FROM fact WHERE outcome <> 'Goal')
 UNION ALL SELECT 'relationships_fact_shot_match_key', 'pass', CAST(count(*) FILTER (WHERE match_key IS NULL) AS BIGINT) FROM fact""")
 def elt_rules_report(spark, sf_dir):
     ctx = layers(spark, sf_dir, 3)
     f = ctx["fact_shot"]
     rules = [quality.not_null("fact_shot", "team_version_key"), quality.value_between("fact_shot", "xg", 0, 0.05),
-             quality.unique("fact_shot", f, "shot_key"),
+             quality.unique("fact_shot", f, "shot_key"), quality.unique_key("fact_shot", f, ["match_key", "period"]),
+             quality.accepted_values("fact_shot", f, "outcome", ["Goal"], quality.WARN),
              quality.relationships("fact_shot", f, ["match_key"], star.dim_match(ctx["ods_matches"]), ["match_key"])]
     return quality.run_rules(ctx, rules).drop("severity")
 

@@ -162,3 +162,15 @@ def test_reconcile_against_published(spark, rows):
     out = compare.reconcile(events, matches, pub)
     assert rows(out, "team_id", "shots", "goals", "own_goals_for", "score_ok", "published_ok") == [
         (10, 1, 1, 0, True, True), (20, 0, 0, 1, True, False)]
+    both = pub.withColumn("source_system", F.lit("a")).union(pub.withColumns({"shots": F.lit(7), "source_system": F.lit("b")}))
+    assert rows(compare.reconcile(events, matches, both, "a"), "team_id", "published_ok") == [(10, True), (20, False)]
+    assert rows(compare.reconcile(events, matches, both, "b"), "team_id", "published_ok") == [(10, False), (20, False)]
+
+
+def test_group_rules_share_a_pass(spark, rows):
+    df = values(spark, [(1, "x", "a"), (1, "x", "b"), (2, None, "c"), (2, None, "c"), (None, "y", None), (None, "z", "a")], "k int, s string, v string")
+    rules = [quality.unique("t", df, "k"), quality.unique_key("t", df, ["k", "s"]), quality.accepted_values("t", df, "v", ["a"], quality.WARN),
+             quality.unique("t", df.where("false"), "s")]
+    assert rows(quality.run_rules({"t": df}, rules), "rule", "status", "failures") == sorted([
+        ("unique_t_k", "fail", 2), ("unique_combination_t_k_s", "fail", 2), ("accepted_values_t_v", "warn", 2), ("unique_t_s", "pass", 0)], key=str)
+    assert all(r.violators.count() == n for r, n in zip(rules, [2, 2, 2, 0]))
