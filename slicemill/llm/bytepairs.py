@@ -6,7 +6,7 @@ import base64
 import re
 from array import array
 
-KEPT = 500_000  # words, about 100 MB
+KEPT, KEPT_COUNTS = 500_000, 800_000  # words, about 100 MB each
 SPECIAL = {"<|endoftext|>": 50256}
 # A single space between other characters always starts a new token run, so texts are cut there. Two white-space
 # characters in a row belong together; such texts are encoded whole.
@@ -24,6 +24,7 @@ class ByteEncoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.tool = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
         self.kind, self.width, self.known = kind, array(kind).itemsize, {}
+        self.counts: dict[str, int] = {}
 
     def plain(self, text: str) -> bytes:
         return array(self.kind, self.tool.encode(text, allowed_special="all")).tobytes()
@@ -32,8 +33,25 @@ class ByteEncoder:
         return b"".join(self.parts(text))
 
     def size(self, text: str | None) -> int:
-        """Number of ids."""
-        return sum(map(len, self.parts(text))) // self.width
+        """Number of ids; words are counted, not kept."""
+        if not text:
+            return 0
+        if RUN.search(text) or "<|" in text:
+            return len(self.plain(text)) // self.width
+        first, *rest = text.split(" ")
+        counts, total = self.counts, len(self.plain(first)) // self.width
+        try:
+            return total + sum(map(counts.__getitem__, rest))
+        except KeyError:
+            pass
+        for w in rest:
+            n = counts.get(w)
+            if n is None:
+                if len(counts) >= KEPT_COUNTS:
+                    counts.clear()
+                n = counts[w] = len(self.tool.encode_ordinary(" " + w))
+            total += n
+        return total
 
     def parts(self, text: str | None) -> list[bytes]:
         if not text:

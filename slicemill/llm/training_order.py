@@ -92,6 +92,7 @@ def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH,
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary, "H")
+        code.counts.clear()  # of the first pass
         now, index, held, ids, out = None, 0, [], [], []  # held: parts of the open sequence
 
         def close(parts, docs):
