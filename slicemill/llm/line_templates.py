@@ -7,8 +7,8 @@ if at least ``FIT`` of its tokens below the leading ones are those of the templa
 of their own. A template found in two or more documents is recurring: its lines stay in the first document
 (lowest doc_id, then text hash; null ids last) and are dropped from all others.
 
-The votes need the tokens only of leaves with several distinct lines, so only those lines are shuffled. Everything
-else moves hashes. A template that a third of all lines share is folded before each shuffle, and the join that marks its
+The votes need the tokens only of leaves with several distinct lines, and of each kind of line only one, so only
+those documents are read again and only those lines are shuffled. Everything else moves hashes. A template that a third of all lines share is folded before each shuffle, and the join that marks its
 lines can be split by the skew rule. Nothing is gathered per template; arrays are bounded by one document.
 
 Defined cases: null text stays null; blank lines and lines of fewer than ``MIN_TOKENS`` tokens always stay; repeated
@@ -18,6 +18,8 @@ left becomes empty, the document itself stays; empty tables give empty tables; o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,13 +28,17 @@ from slicemill.llm.common import keyed, packed, same_document, written
 LEADING, FIT, MIN_TOKENS = 3, 0.8, 4
 FIELD = "<*>"
 SPACES = r"[\x09-\x0D\x20]+"
-BROADCAST_LEAVES = 1_000_000  # 8 bytes each
+BROADCAST_LINES = 500_000  # 20 bytes each, and as much for each document
 
 
 def masked(line: Column) -> Column:
-    """Tokens with one space between them; those with a digit are variable."""
-    squeezed = F.trim(F.regexp_replace(line, SPACES, " "))
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(squeezed, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(squeezed)
+    """Tokens with one space between them; those with a digit are variable. Regular expressions run only where a plain
+    search has found something for them."""
+    def any_of(c, parts):
+        return reduce(lambda x, y: x | y, [F.contains(c, F.lit(p)) for p in parts])
+
+    squeezed = F.trim(F.when(any_of(line, ["  ", "\t", "\r", "\x0b", "\x0c"]), F.regexp_replace(line, SPACES, " ")).otherwise(line))
+    return F.when(any_of(line, "0123456789"), F.regexp_replace(squeezed, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(squeezed)
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -45,14 +51,19 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.select("*", F.xxhash64("n", F.substring_index("masked", " ", LEADING)).alias("leaf"), F.xxhash64("masked").alias("mh"))
 
 
-def fitting(docs: DataFrame, stats: DataFrame) -> DataFrame:
-    """(leaf, mh) of the lines that fit the template of their leaf. ``stats``: leaf, mh, one row for each distinct line."""
-    several = stats.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf")
-    several = written(several, "leaves")
-    if several.count() <= BROADCAST_LEAVES:
-        several = F.broadcast(several)
-    voters = lines(docs).where(F.col("n") > LEADING).join(several, "leaf", "left_semi")
-    voters = voters.groupBy("leaf", "mh").agg(F.first("masked").alias("masked"))
+def fitting(docs: DataFrame, every: DataFrame) -> DataFrame:
+    """(leaf, mh) of the lines that fit the template of their leaf; ``every`` is the stored form of ``lines``.
+
+    One line of each kind votes. Only those of leaves with several kinds are read again, by document and number.
+    """
+    kinds = every.groupBy("leaf", "mh").agg(F.min(F.struct("doc_id", "th", "line_no")).alias("at"), F.first("n").alias("n"))
+    kinds = written(kinds.where(F.col("n") > LEADING).select("leaf", "mh", "at.*"), "kinds")
+    several = kinds.groupBy("leaf").agg(F.count("*").alias("m")).where("m > 1").select("leaf")
+    wanted = written(kinds.join(several, "leaf").groupBy("doc_id", "th").agg(F.collect_list(F.struct("line_no", "leaf", "mh")).alias("wanted")), "voting")
+    texts = keyed(docs)
+    few = F.broadcast(wanted) if wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0] <= BROADCAST_LINES else wanted
+    voters = texts.join(few, same_document(texts, few)).select(F.split("text", "\n", -1).alias("all"), F.explode("wanted").alias("w"))
+    voters = voters.select("w.leaf", "w.mh", masked(F.get("all", F.col("w.line_no"))).alias("masked")).dropDuplicates(["leaf", "mh"])
     tokens = F.transform(F.slice(F.split("masked", " "), F.lit(LEADING + 1), F.lit(1 << 30)), lambda t: F.xxhash64(t))
     voters = written(voters.select("leaf", "mh", tokens.alias("tokens")), "voters")
     votes = voters.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count("*").alias("c"))
@@ -67,15 +78,15 @@ def fitting(docs: DataFrame, stats: DataFrame) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = 2) -> DataFrame:
     """doc_id, th, dropped (sorted line numbers) of documents that lose lines."""
-    every = written(lines(docs).select("doc_id", "th", "line_no", "leaf", "mh"), "lines")
-    stats = every.groupBy("leaf", "mh").agg(F.lit(1).alias("one")).select("leaf", "mh")
-    fit = fitting(docs, stats).withColumn("fits", F.lit(True))
+    every = written(lines(docs).select("doc_id", "th", "line_no", "n", "leaf", "mh"), "lines")
+    fit = fitting(docs, every).withColumn("fits", F.lit(True))
     every = every.join(fit, ["leaf", "mh"], "left")
     every = every.select("doc_id", "th", "line_no", F.when(F.col("fits"), F.xxhash64("leaf", F.lit("template"))).otherwise(F.col("mh")).alias("template"))
     every = written(every, "templates")
     holder = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th").alias("holder")
     found = every.select("template", holder).distinct().groupBy("template").agg(F.count("*").alias("docs"), F.min("holder").alias("first"))
-    found = found.where(F.col("docs") >= min_docs).select("template", "first")
+    # stored, so that both sides of the join are dealt anew and a hot template can be split
+    found = written(found.where(F.col("docs") >= min_docs).select("template", "first"), "recurring")
     rest = every.join(found, "template").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))))
     return rest.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("line_no")).alias("dropped"))
 
