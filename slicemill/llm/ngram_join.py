@@ -42,7 +42,6 @@ SIZE, SIMILARITY, RECALL, HASHES = 5, 0.8, 0.9999, 192
 BLOCK_NODES, BLOCK_GRAMS = 256, 150_000
 BROADCAST_ROWS = 500_000  # about 60 bytes each
 WORD = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
-NO_NODE = b""
 
 
 def bands_for(similarity: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -248,13 +247,10 @@ def join(docs: DataFrame, size: int = SIZE, similarity: float = SIMILARITY, reca
     bands, per_band = bands_for(similarity, recall, hashes)
     every = written(signatures(docs, size, bands, per_band), "signatures")
     holder = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
-    nodes = every.groupBy("node").agg(F.count("*").alias("copies"), F.min(holder).alias("holder"))
+    # folded before the shuffle, so that a node of many copies is one row for each task
+    nodes = every.groupBy("node").agg(F.count("*").alias("copies"), F.min(holder).alias("holder"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     nodes = written(nodes, "nodes")
-
-    # the bands are needed once for each node: those of its holder
-    own = every.join(nodes.select("node", "holder"), "node")
-    own = own.where(F.col("doc_id").eqNullSafe(F.col("holder.doc_id")) & (F.col("th") == F.col("holder.th"))).dropDuplicates(["node"])
-    own = written(own.select("node", "n", F.posexplode("bands").alias("band", "key")), "bands")
+    own = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     buckets = own.groupBy("key").agg(
         F.first("band").alias("band"), F.count("*").alias("m"), F.sum(F.col("n").cast("long")).alias("grams"),
         F.sum(F.xxhash64("node").cast("decimal(28,0)")).alias("s1"), F.sum(F.xxhash64("node", F.lit(1)).cast("decimal(28,0)")).alias("s2")).where("m > 1")
@@ -276,8 +272,7 @@ def join(docs: DataFrame, size: int = SIZE, similarity: float = SIMILARITY, reca
                               "grams": [g.view(np.int64) for g in gram_sets(batch.column("text").to_pylist(), size)]}
 
     full = map_batches(texts, sets, "node binary, copies long, grams array<long>").dropDuplicates(["node"])
-    bands_of = every.select("node", "bands").join(need.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    full = written(full.join(bands_of, "node"), "sets")
+    full = written(full.join(nodes.select("node", "bands"), "node"), "sets")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     work = members.join(full, "node").withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     work = work.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "band", "block", "node", "copies", "grams", "bands")
