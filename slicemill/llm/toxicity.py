@@ -163,10 +163,15 @@ def squared_hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray, rounds: int =
     """Primal Newton steps of a linear machine with squared hinge loss; the last feature is the bias."""
     u = np.zeros(z.shape[1])
     for _ in range(rounds):
-        out = 1 - y * (z @ u)
-        sv = out > 0
-        a = z[sv] * cost[sv, None]
-        step = np.linalg.solve(a.T @ z[sv] + np.eye(z.shape[1]), a.T @ y[sv])
+        sv = 1 - y * (z @ u) > 0
+        left, right = np.eye(z.shape[1]), np.zeros(z.shape[1])
+        for at in range(0, len(z), 20_000):  # sums in pieces, to hold no second copy
+            own = sv[at:at + 20_000]
+            part = z[at:at + 20_000][own].astype(float)
+            weighed = part * cost[at:at + 20_000][own, None]
+            left += weighed.T @ part
+            right += weighed.T @ y[at:at + 20_000][own]
+        step = np.linalg.solve(left, right)
         if np.abs(step - u).max() < 1e-6:
             break
         u = step
@@ -201,7 +206,12 @@ def fit(texts: list[str], labels: list[int], cost: float = 10.0) -> Model | floa
     whiten = vector / np.sqrt(np.maximum(value, 1e-3))
     every = sorted(set().union(*docs))
     at = {w: i for i, w in enumerate(every)}
-    z = np.c_[landmarks.kernel(every) @ whiten, np.ones(len(every))]
+    whiten = whiten.astype(np.float32)
+
+    def seen(words):
+        return np.c_[landmarks.kernel(words) @ whiten, np.ones(len(words), np.float32)]
+
+    z = seen(every)
     owned = [np.array(sorted(at[w] for w in d), int) for d in docs]
     negative = np.unique(np.concatenate([o for o, l in zip(owned, labels) if not l] or [np.zeros(0, int)]).astype(int))
     score = np.array([typical.get(w, -9.0) * math.sqrt(toxic[w]) for w in every])
@@ -211,12 +221,13 @@ def fit(texts: list[str], labels: list[int], cost: float = 10.0) -> Model | floa
         if not len(witness):
             return float(y.mean())
         worn = [v for i in np.unique(witness) for v in variants(every[i])]
-        worn = z[:0] if not worn else np.c_[landmarks.kernel(worn) @ whiten, np.ones(len(worn))]
+        worn = seen(worn) if worn else z[:0]
         x = np.r_[z[witness], worn, z[negative]]
         ones = len(witness) + len(worn)
         side = np.r_[np.ones(ones), -np.ones(len(negative))]
         weight = cost * np.r_[np.ones(len(witness)), np.full(len(worn), 0.5), np.full(len(negative), max(1.0, ones / max(1, len(negative))))]
         u = squared_hinge(x, side, weight)
+        del x
         score = z @ u
     folded = np.zeros(CHARS ** LENGTH, np.float32)
     folded[landmarks.used] = landmarks.table[1:] @ (whiten @ u[:-1])
