@@ -3,14 +3,34 @@
 from __future__ import annotations
 
 import base64
-import re
 from array import array
 
-KEPT, KEPT_COUNTS = 500_000, 800_000  # words, about 100 MB each
+KEPT, KEPT_COUNTS = 700_000, 800_000  # words, about 150 MB each
 SPECIAL = {"<|endoftext|>": 50256}
-# A single space between other characters always starts a new token run, so texts are cut there. Two white-space
-# characters in a row belong together; such texts are encoded whole.
-RUN = re.compile(r"\s\s")
+
+
+class Words(dict):
+    """What ``encode`` makes of a word behind a space; None where a text may not be cut at the spaces around it.
+
+    A single space between other characters always starts a new token run, so texts are cut there. White space next to
+    a space belongs to the same run.
+    """
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+        self.marks = {c: encode(c) for c in ".,;:!?"}
+
+    def __missing__(self, word: str):
+        if len(self) >= self.most:
+            self.clear()
+        if not word or word[0].isspace() or word[-1].isspace():
+            out = None
+        elif word[-1] in self.marks and word[:-1].isalpha():  # letters and marks are runs of their own
+            out = self[word[:-1]] + self.marks[word[-1]]
+        else:
+            out = self.encode(" " + word)
+        self[word] = out
+        return out
 
 
 class ByteEncoder:
@@ -23,52 +43,38 @@ class ByteEncoder:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.tool = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
-        self.kind, self.width, self.known = kind, array(kind).itemsize, {}
-        self.counts: dict[str, int] = {}
+        self.kind, self.width = kind, array(kind).itemsize
+        ordinary = self.tool.encode_ordinary
+        self.known = Words(lambda w: array(kind, ordinary(w)).tobytes(), KEPT)
+        self.counts = Words(lambda w: len(ordinary(w)), KEPT_COUNTS)
 
     def plain(self, text: str) -> bytes:
         return array(self.kind, self.tool.encode(text, allowed_special="all")).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
-        return b"".join(self.parts(text))
+        if not text:
+            return b""
+        parts = self.cut(text, self.known)
+        return self.plain(text) if parts is None else b"".join(parts)
 
     def size(self, text: str | None) -> int:
         """Number of ids; words are counted, not kept."""
         if not text:
             return 0
-        if RUN.search(text) or "<|" in text:
-            return len(self.plain(text)) // self.width
-        first, *rest = text.split(" ")
-        counts, total = self.counts, len(self.plain(first)) // self.width
-        try:
-            return total + sum(map(counts.__getitem__, rest))
-        except KeyError:
-            pass
-        for w in rest:
-            n = counts.get(w)
-            if n is None:
-                if len(counts) >= KEPT_COUNTS:
-                    counts.clear()
-                n = counts[w] = len(self.tool.encode_ordinary(" " + w))
-            total += n
-        return total
-
-    def parts(self, text: str | None) -> list[bytes]:
-        if not text:
-            return []
-        if RUN.search(text) or "<|" in text:
-            return [self.plain(text)]
+        parts = self.cut(text, self.counts)
+        return len(self.plain(text)) // self.width if parts is None else sum(parts)
+
+    def cut(self, text: str, words: Words) -> list | None:
+        """What is known of the words of a text, or None if it has to be encoded whole."""
+        if "<|" in text:
+            return None
         first, *rest = text.split(" ")
-        known, ordinary, kind = self.known, self.tool.encode_ordinary, self.kind
-        out = [self.plain(first)]
-        for w in rest:
-            ids = known.get(w)
-            if ids is None:
-                if len(known) >= KEPT:
-                    known.clear()
-                ids = known[w] = array(kind, ordinary(" " + w)).tobytes()
-            out.append(ids)
-        return out
+        if first and (first[0].isspace() or first[-1].isspace()):
+            return None
+        parts = list(map(words.__getitem__, rest))
+        if None in parts:
+            return None
+        return [words.encode(first), *parts] if first else parts
 
 
 _encoders: dict[tuple[str, str], ByteEncoder] = {}
