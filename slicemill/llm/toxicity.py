@@ -209,7 +209,10 @@ def fit(texts: list[str], labels: list[int], cost: float = 10.0) -> Model | floa
     whiten = whiten.astype(np.float32)
 
     def seen(words):
-        return np.c_[landmarks.kernel(words) @ whiten, np.ones(len(words), np.float32)]
+        out = np.ones((len(words), len(marks) + 1), np.float32)
+        for first in range(0, len(words), 20_000):
+            out[first:first + 20_000, :-1] = landmarks.kernel(words[first:first + 20_000]) @ whiten
+        return out
 
     z = seen(every)
     owned = [np.array(sorted(at[w] for w in d), int) for d in docs]
