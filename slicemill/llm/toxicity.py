@@ -7,9 +7,11 @@ the labelled sentences; a word becomes its kernel values against them, whitened
 the machine is linear in these, its weights fold into one number for each subsequence, which is what scoring looks up.
 
 Labels belong to whole documents, so the machine learns from sentences as multiple instances: every word window of a
-clean sentence is a negative example, and of a toxic document's sentences the window with the highest score (its
-witness) is the positive one, together with copies of it in which a character is inserted, doubled or replaced.
-Witnesses start at the words that are most typical of toxic sentences and are picked anew after each fit. A document scores as its worst window, mapped to a probability by a logistic curve fitted on the
+clean sentence is a negative example, weighed by the share that clean documents have in its occurrences, and of a toxic
+document's sentences the window with the highest score (its witness) is the positive one, together with copies of it in
+which a character is inserted, doubled or replaced. Witnesses are windows of which clean documents have less than
+``CLEAN_SHARE``, so one quotation or wrong label does not unlearn an insult. They start at the words that are most
+typical of toxic sentences and are picked anew after each fit. A document scores as its worst window, mapped to a probability by a logistic curve fitted on the
 same documents.
 
 The fit sees at most ``TRAIN_DOCS`` labelled documents, the first by hash of their id, and of these the ones up to
@@ -17,8 +19,9 @@ The fit sees at most ``TRAIN_DOCS`` labelled documents, the first by hash of the
 or those of one batch.
 
 Defined cases: null and empty texts, and texts without words of three characters, get the score of no evidence; rows
-without id are scored and not held out; without labels of both kinds every score is the share of label 1, else 0;
-repeated rows are scored alike; extra columns pass through ``drop_toxic`` untouched.
+without id are scored and not held out; without labels of both kinds, or where no word tells
+them apart, every score is the share of label 1 among all labelled documents, else 0, and ``drop_toxic`` keeps every
+document; repeated rows are scored alike; extra columns pass through ``drop_toxic`` untouched.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ LENGTH, SPAN, DECAY = 3, 6, 0.75
 WINDOW = 24
 TOXIC_LANDMARKS, CLEAN_LANDMARKS = 96, 64
 ROUNDS = 3
+CLEAN_SHARE = 0.25
 CHARS = 64  # characters told apart by the kernel; the last one stands for all rarer ones
 
 STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
@@ -218,9 +222,12 @@ def fit(texts: list[str], labels: list[int], cost: float = 10.0) -> Model | floa
     owned = [np.array(sorted(at[w] for w in d), int) for d in docs]
     negative = np.unique(np.concatenate([o for o, l in zip(owned, labels) if not l] or [np.zeros(0, int)]).astype(int))
     score = np.array([typical.get(w, -9.0) * math.sqrt(toxic[w]) for w in every])
+    # by documents, as if there were equally many of both labels
+    held = [np.bincount(np.concatenate([o for o, l in zip(owned, labels) if l == v]), minlength=len(every)) / np.sum(y == v) for v in (0, 1)]
+    share = held[0] / np.maximum(held[0] + held[1], 1e-12)
+    open_to = [o[share[o] < CLEAN_SHARE] for o, l in zip(owned, labels) if l]
     for _ in range(ROUNDS):
-        witness = np.array([o[np.argmax(score[o])] for o, l in zip(owned, labels) if l and len(o)], int)
-        witness = witness[~np.isin(witness, negative)]
+        witness = np.array([o[np.argmax(score[o])] for o in open_to if len(o)], int)
         if not len(witness):
             return float(y.mean())
         worn = [v for i in np.unique(witness) for v in variants(every[i])]
@@ -228,7 +235,7 @@ def fit(texts: list[str], labels: list[int], cost: float = 10.0) -> Model | floa
         x = np.r_[z[witness], worn, z[negative]]
         ones = len(witness) + len(worn)
         side = np.r_[np.ones(ones), -np.ones(len(negative))]
-        weight = cost * np.r_[np.ones(len(witness)), np.full(len(worn), 0.5), np.full(len(negative), max(1.0, ones / max(1, len(negative))))]
+        weight = cost * np.r_[np.ones(len(witness)), np.full(len(worn), 0.5), max(1.0, ones / max(1, len(negative))) * share[negative]]
         u = squared_hinge(x, side, weight)
         del x
         score = z @ u
@@ -294,7 +301,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
     sample = F.broadcast(picked[0].unionByName(picked[1]))  # TRAIN_DOCS rows of two numbers
     rows = docs.select("doc_id", "text").where(F.length("text") <= TRAIN_CHARS).join(sample, "doc_id").select("doc_id", "text", "label")
     rows = sorted({(r.doc_id, r.text, r.label) for r in rows.collect()})
-    return fit([r[1] for r in rows], [int(r[2]) for r in rows])
+    model = fit([r[1] for r in rows], [int(r[2]) for r in rows])
+    if isinstance(model, float):  # the sample is balanced, the share is that of all
+        model = float(known.join(docs.select("doc_id"), "doc_id", "left_semi").agg(F.avg("label")).first()[0] or 0.0)
+    return model
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
@@ -310,6 +320,8 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without those predicted to be toxic, by a model fitted on ``labels``."""
     model = train(docs, labels)
+    if isinstance(model, float):
+        return docs
 
     def run(batches):
         known: dict[str, float] = {}

@@ -94,3 +94,28 @@ def test_labels_of_held_out_rows_do_not_matter(spark, docs_of):
     turned = labels.withColumn("toxic", F.when(T.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = T.train(docs, labels), T.train(docs, turned)
     assert T.probabilities(a, [r[1] for r in rows]) == T.probabilities(b, [r[1] for r in rows])
+
+
+def test_quoted_insults_are_still_learnt():
+    rows = corpus(400, 1)
+    quoted = [(1000 + i, f"be ardel {w} conly.", 0) for i, w in enumerate(INSULTS)]
+    m = T.fit([r[1] for r in rows + quoted], [r[2] for r in rows + quoted])
+    assert not isinstance(m, float)
+    assert all(p >= 0.5 for p in T.probabilities(m, [f"be ardel {w} conly" for w in INSULTS + ["blockxhead", "scouundrel"]]))
+    assert all(p < 0.5 for p in T.probabilities(m, ["be ardel conly", ""]))
+
+
+def test_without_a_machine_nothing_is_rejected(spark, docs_of):
+    """No word tells the labels apart: the score is the share among all labelled documents, and all documents stay."""
+    rows = [(i, "the same words in all", int(i % 10 == 0)) for i in range(200)]
+    docs = docs_of([r[:2] for r in rows])
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    known = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    old, T.TRAIN_DOCS = T.TRAIN_DOCS, 2
+    try:
+        m = T.train(docs, labels)
+        assert m == sum(r[2] for r in known) / len(known)
+        assert T.drop_toxic(docs, labels).count() == 200
+    finally:
+        T.TRAIN_DOCS = old
+    assert T.drop_toxic(docs, labels.withColumn("toxic", F.lit(1))).count() == 200
