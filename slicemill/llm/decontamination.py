@@ -16,10 +16,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicemill.llm.common import keyed, same_document, without
+from slicemill.llm.common import keyed, same_document, without, written
 
 WINDOW = 13
 BROADCAST_BYTES = 48 << 20
+HASH_BYTES = 64  # of one window's hash and size in a broadcast
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
@@ -72,29 +73,43 @@ def benchmark_windows(benchmark: DataFrame, window: int) -> tuple[DataFrame, lis
     return every.groupBy("hash", "n", "win").agg(F.collect_set("item_id").alias("items")), sizes
 
 
+def sized(df: DataFrame, weight: int) -> DataFrame:
+    return F.broadcast(df) if weight <= BROADCAST_BYTES else df
+
+
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame | None:
     """Per document with hits: doc_id, th, spans (sorted (start, end) in words) and items (ids). None without windows.
 
-    The windows are broadcast after their size was measured; above BROADCAST_BYTES they are joined by a shuffle on
-    the hash. What is gathered per document is bounded by its own words and the items.
+    N-grams meet the windows by hash alone, and only documents with such hits are read again to compare their words; a
+    shuffled n-gram is five numbers, whatever the length of its text. Hashes, hits and windows are sized first and
+    broadcast up to BROADCAST_BYTES, else shuffled. What is gathered per document is bounded by its own words and the items.
     """
     wins, sizes = benchmark_windows(benchmark, window)
     if not sizes:
         return None
-    weight = wins.agg(F.sum(F.octet_length(F.concat_ws("  ", "win")) + 16 * F.size("items") + 64 + 8 * F.col("n"))).first()[0]
-    wins = F.broadcast(wins) if weight <= BROADCAST_BYTES else wins
-    own = with_gram_hashes(keyed(docs).select("doc_id", "th", words(F.col("text")).alias("words")).where(F.size("words") >= sizes[0]), sizes)
-    own = own.select("doc_id", "th", "words", F.posexplode(F.concat(*[F.col(f"g{n}") for n in sizes])).alias("at", "hash"))
-    found = own.join(wins, "hash")
+    wins = written(wins, "windows")
+    hashes = wins.select("hash", "n").distinct()
+    weight = F.sum(F.octet_length(F.concat_ws("  ", "win")) + 16 * F.size("items") + 64 + 8 * F.col("n"))
+    weight, n_wins = wins.agg(weight, F.count("*")).first()
+    hashes = sized(hashes, HASH_BYTES * n_wins)
+    own = keyed(docs).select("doc_id", "th", words(F.col("text")).alias("words"))
+    grams = with_gram_hashes(own.where(F.size("words") >= sizes[0]), sizes)
+    grams = grams.select("doc_id", "th", F.size("words").alias("n_words"), F.posexplode(F.concat(*[F.col(f"g{n}") for n in sizes])).alias("at", "hash"))
     # the arrays of all sizes stand behind each other: where the one of this window begins
     first, before = F.lit(None).cast("int"), F.lit(0)
     for n in sizes:
         first = F.when(F.col("n") == n, before).otherwise(first)
-        before = before + F.greatest(F.size("words") - (n - 1), F.lit(0))
+        before = before + F.greatest(F.col("n_words") - (n - 1), F.lit(0))
     start = F.col("at") - first
-    found = found.where((start >= 0) & (start + F.col("n") <= F.size("words")))
-    found = found.where(F.slice("words", start + 1, F.col("n")) == F.col("win"))
-    found = found.select("doc_id", "th", F.struct(start.alias("start"), (start + F.col("n")).alias("end")).alias("span"), "items")
+    met = grams.join(hashes, "hash").where((start >= 0) & (start + F.col("n") <= F.col("n_words")))
+    met = met.groupBy("doc_id", "th").agg(F.collect_set(F.struct(start.alias("start"), "n", "hash")).alias("met"))
+    met = written(met, "met")
+    met = sized(met, met.agg(F.coalesce(F.sum(16 * F.size("met") + 64), F.lit(0))).first()[0])
+    found = own.join(met, same_document(own, met)).select(own["doc_id"], own["th"], "words", F.explode("met").alias("m"))
+    found = found.select("doc_id", "th", F.col("m.start").alias("start"), F.col("m.n").alias("n"), F.col("m.hash").alias("hash"),
+                         F.slice("words", F.col("m.start") + 1, F.col("m.n")).alias("win"))
+    found = found.join(sized(wins, weight), ["hash", "n", "win"])
+    found = found.select("doc_id", "th", F.struct("start", (F.col("start") + F.col("n")).alias("end")).alias("span"), "items")
     return found.groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set("span")).alias("spans"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
 

@@ -66,3 +66,23 @@ def test_awkward(spark, awkward):
     nothing = bench.limit(0)
     assert D.report(awkward, nothing).where("n_hit > 0").count() == 0 and D.drop_documents(awkward, nothing).count() == 10
     assert D.report(awkward.limit(0), bench).count() == 0
+
+
+def test_shuffled_ngrams_carry_no_text(spark, docs_of, monkeypatch):
+    """Beyond the broadcast limit the rows joined by hash are one for each n-gram; none holds the words of its document."""
+    monkeypatch.setattr(D, "BROADCAST_BYTES", 0)
+    passage, long = " ".join(f"p{i}" for i in range(15)), " ".join(f"w{i}" for i in range(3000))
+    rows, items = [(1, f"{long} {passage}"), (2, long)], [(1, passage), (2, "three short words")]
+    docs, bench = docs_of(rows), spark.createDataFrame(items, "item_id long, text string")
+    frame, seen = type(docs), []
+    join = frame.join
+
+    def watched(left, right, on=None, how=None):
+        if on == "hash" if isinstance(on, str) else isinstance(on, list) and "hash" in on:
+            seen.append(left.columns)
+        return join(left, right, on, how)
+
+    monkeypatch.setattr(frame, "join", watched)
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in D.report(docs, bench).collect()}
+    assert got == brute(rows, items)
+    assert seen and not any("words" in columns for columns in seen)
