@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicemill.functions.aggregates import EMPTY
+from slicemill.functions.aggregates import EMPTY, digest_parts
 from slicemill.functions.columns import json_value
 from slicemill.plans.registry import query, table
 from slicemill.plans.standins import orders
@@ -13,6 +13,8 @@ from slicemill.session import work_path
 from slicemill.sources import documents, files
 from slicemill.sources.inline import dictionary
 
+LINES_PER_FILE = 4_000_000  # far below the 2 GB that a hash of bytes can hold
+
 ORDER_CSV = T.StructType([
     T.StructField("o_orderkey", T.LongType()), T.StructField("o_orderstatus", T.StringType()),
     T.StructField("price", T.DecimalType(12, 2)), T.StructField("order_ts", T.TimestampType()),
@@ -112,15 +114,26 @@ def fingerprint_by_lines(spark, sf_dir):
 
 @query("fingerprint_order", "SRC-17 SRC-07", "SELECT 2 AS files, 2 AS hashes, 1 AS contents FROM events LIMIT 1")
 def fingerprint_order(spark, sf_dir):
-    """Two files with the same lines in another order have different hashes by either method."""
+    """The same lines in two orders have different hashes by either method. Each order is a folder of range-partitioned
+    files; a folder's digest is that of its files' hashes and their places, and ``files`` counts the folders."""
     rows = table(spark, sf_dir, "events").select(F.concat_ws(" ", "event_id", "event_type").alias("value"), "event_id")
     path = work_path(spark, "orders-of-lines")
-    for name, order in (("up", F.asc("event_id")), ("down", F.desc("event_id"))):
-        rows.coalesce(1).sortWithinPartitions(order).select("value").write.text(f"{path}/{name}")
-    both = [files.file_fingerprints(spark, f"{path}/*/*.txt", method=m) for m in ("bytes", "lines")]
-    found = both[0].join(both[1].select("file", F.col("sha256").alias("by_lines")), "file")
-    return found.agg(F.count(F.lit(1)).alias("files"), F.least(F.count_distinct("sha256"), F.count_distinct("by_lines")).alias("hashes"),
-                     F.count_distinct("row_count").alias("contents"))
+    for name, order in (("up", F.asc), ("down", F.desc)):
+        order = [order("event_id"), order("value")]
+        ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("value")
+        ordered.write.option("maxRecordsPerFile", LINES_PER_FILE).text(f"{path}/{name}")
+    place = [F.regexp_extract("file", pattern, 1).cast("long") for pattern in (r"/part-(\d+)", r"-c(\d+)\.txt$")]
+    folder = F.regexp_extract("file", r"/(up|down)/[^/]*$", 1)
+    digests = {}
+    for method in ("bytes", "lines"):
+        found = files.file_fingerprints(spark, f"{path}/*/*.txt", method=method)
+        found = found.select(folder.alias("folder"), place[0].alias("part"), place[1].alias("piece"), "sha256", "row_count")
+        n, hi, lo = digest_parts(["part", "piece", "sha256"])
+        per = found.groupBy("folder").agg(n, hi, lo, F.sum("row_count").alias("row_count"))
+        digests[method] = per.select("folder", "row_count", F.concat_ws(":", "n", "hi", "lo").alias(method))
+    both = digests["bytes"].join(digests["lines"].drop("row_count"), "folder")
+    return both.agg(F.count(F.lit(1)).alias("files"), F.least(F.count_distinct("bytes"), F.count_distinct("lines")).alias("hashes"),
+                    F.count_distinct("row_count").alias("contents"))
 
 
 def batch_inputs(spark, sf_dir, name):

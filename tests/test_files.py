@@ -4,11 +4,13 @@ import datetime as dt
 import gzip
 import hashlib
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slicemill.plans import source_queries
 from slicemill.sinks import datasets
 from slicemill.sinks.versioned import PublicationRefused, PublishedMart, SnapshotTable, new_snapshots, snapshot_history
 from slicemill.sources import documents, files
@@ -202,3 +204,18 @@ def test_inline_values_are_known_to_be_small(spark):
     big = spark.range(10).select(F.col("id").cast("string").alias("k"))
     plan = big.join(d, "k", "left")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+def test_orders_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_queries, "work_path", lambda spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tuple(source_queries.fingerprint_order(spark, "/root/testdata/sf0.001").first()) == (2, 2, 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for name in ("up", "down"):
+        parts = sorted((tmp_path / "orders-of-lines" / name).glob("part-*.txt"))
+        ids = [[int(line.split()[0]) for line in p.read_text().splitlines()] for p in parts]
+        assert sum(map(bool, ids)) > 1
+        assert sum(ids, []) == sorted(sum(ids, []), reverse=name == "down")
