@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.llm import chat, decontamination, fingerprints, line_templates, ngram_join, packing, pii, token_counts, toxicity, training_order
+from slicemill.llm import (
+    chat, decontamination, fingerprints, importance, line_templates, ngram_join, packing, pii, runs, token_counts, toxicity, training_order, warc,
+)
 from slicemill.plans.registry import table
 from slicemill.session import work_path
 
@@ -154,3 +156,56 @@ SELECT w.id AS doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN c ON c.doc_id = w.id LEFT JOIN t ON t.doc_id = w.id WHERE kind = 'd'
 """
+
+
+@query
+def op11_importance(spark, sf_dir):
+    """Every document with its weight towards ``benchmark``, its score and, if drawn, its rank."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("th")
+
+
+ORACLE["op11_importance"] = r"""
+WITH both_tables AS (SELECT doc_id AS id, 's' AS kind, text FROM documents UNION ALL SELECT item_id, 't', text FROM benchmark),
+w AS (
+  SELECT id, kind, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM both_tables),
+f AS (SELECT id, kind, unnest(ws) AS word FROM w),
+steps AS (  -- the crc32 of every word, byte by byte: eight shifts for each
+  SELECT word, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(hex(encode(word))) // 2), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS c
+  FROM (SELECT DISTINCT word FROM f)),
+b AS (SELECT word, xor(c, 4294967295) % 10000 AS bucket FROM steps),
+n AS (
+  SELECT bucket, count(*) FILTER (WHERE kind = 's') AS s, count(*) FILTER (WHERE kind = 't') AS t FROM f JOIN b USING (word) GROUP BY bucket),
+a AS (SELECT sum(s)::BIGINT AS s_all, sum(t)::BIGINT AS t_all FROM n),
+g AS (SELECT bucket, floor(1000 * ln(((t + 1) * (s_all + 10000))::DOUBLE / ((s + 1) * (t_all + 10000))::DOUBLE))::BIGINT AS gain FROM n, a),
+d AS (SELECT id, sum(gain)::BIGINT AS weight FROM f JOIN b USING (word) JOIN g USING (bucket) WHERE kind = 's' GROUP BY id),
+h AS (
+  SELECT w.id AS doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('2024:' || w.id), 1, 8))::BIGINT AS h
+  FROM w LEFT JOIN d ON d.id = w.id WHERE kind = 's'),
+c AS (SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM h),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM c WHERE n_features >= 20)
+SELECT c.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM c LEFT JOIN r USING (doc_id)
+"""
+
+
+@query
+def op12_warc(spark, sf_dir):
+    """Every page as it is read back from the archives it was written to."""
+    target = work_path(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), target)
+    return warc.read(index, target, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op12_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@query
+def op13_word_runs(spark, sf_dir):
+    """Periodic runs of words in every document, every tenth one made periodic by its id."""
+    return runs.report(table(spark, sf_dir, "documents"), runs.planted)
