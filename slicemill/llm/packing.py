@@ -3,14 +3,17 @@
 A document is its token ids and an end id. Only documents longer than ``CAPACITY`` are cut, so that all pieces but
 the first are full. The histogram of piece lengths (at most ``CAPACITY`` numbers, the only thing the driver sees) is
 approximated by repeat counts of patterns of up to three lengths that fill a sequence exactly: projected gradient
-steps with momentum on the least-squares error, never below zero. Counts are rounded, and what they leave of the
-histogram is packed best-fit, longest first, also on the histogram. The plan is a list of (pattern, repeats); its size
-depends on the capacity, not on the data. Pieces take their place by their rank among the pieces of equal length,
+steps with momentum on the least-squares error, never below zero. Counts are rounded, what they leave of the histogram
+is fitted again while that takes a good part of it, and the last rest is packed best-fit, longest first, also on the histogram. Of the plans after
+each of these rounds, best fit for all of it among them, the one of the fewest sequences is taken. A plan is a list of
+(pattern, repeats); its size depends on the capacity, not on the data. At most ``PATTERNS`` patterns are tried, with
+their shortest lengths evenly thinned out beyond. Pieces take their place by their rank among the pieces of equal length,
 which each task counts for itself and shifts by what earlier tasks have counted; no group of equal lengths, however
 hot, meets in one task.
 
 Defined cases: null and empty texts are one piece of the end id; repeated rows are packed as often as they come; null
-ids stay null; empty tables give no pieces; extra columns are not used.
+ids stay null; very long texts are encoded whole, in one task each; pieces of equal length are alike to the plan, so ties
+between them are broken by the order in which tasks read them; empty tables give no pieces; extra columns are not used.
 """
 
 from __future__ import annotations
@@ -32,7 +35,8 @@ from slicemill.llm.bytepairs import encoder
 from slicemill.llm.common import slices, written
 
 CAPACITY, END = 1024, 2
-STEPS = 400
+STEPS, ROUNDS = 400, 2
+PATTERNS = 500_000
 Plan = list[tuple[tuple[int, ...], int]]
 
 
@@ -66,18 +70,27 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def fitted(histogram: np.ndarray, capacity: int) -> Plan:
-    """Repeat counts of exact patterns of up to three lengths. ``histogram``: count by length, from 0 to the capacity."""
+def exact_patterns(histogram: np.ndarray, capacity: int) -> np.ndarray:
+    """Rows of three lengths that occur and fill a sequence, shortest first; a pair has the length 0, for nothing, in front."""
     have = np.flatnonzero(histogram[:capacity])
     there = histogram > 0
     there[capacity] = False
-    a, b = np.meshgrid(have, have, indexing="ij")
-    c = capacity - a - b
-    three = (a <= b) & (b <= c) & (c > 0)
-    three &= there[np.maximum(c, 0)]
     two = have[(2 * have <= capacity) & there[capacity - have]]
-    # the third place of a pair is length 0, which stands for nothing
-    parts = np.r_[np.c_[np.zeros(len(two), int), two, capacity - two], np.c_[a[three], b[three], c[three]]]
+    rows = [np.c_[np.zeros(len(two), int), two, capacity - two]]
+    # lengths from the shortest one up to half of what it leaves can be the second
+    first, last = np.searchsorted(have, have), np.searchsorted(have, (capacity - have) // 2, side="right")
+    every = np.maximum(0, last - first)
+    step = max(1, -(-int(every.sum()) // PATTERNS))
+    for i in np.flatnonzero(every)[::step].tolist():
+        second = have[first[i]:last[i]]
+        second = second[there[capacity - have[i] - second]]
+        rows.append(np.c_[np.full(len(second), have[i]), second, capacity - have[i] - second])
+    return np.concatenate(rows)
+
+
+def fitted(histogram: np.ndarray, capacity: int) -> Plan:
+    """Repeat counts of exact patterns of up to three lengths. ``histogram``: count by length, from 0 to the capacity."""
+    parts = exact_patterns(histogram, capacity)
     plan: Plan = [((capacity,), int(histogram[capacity]))] if histogram[capacity] else []
     if not len(parts):
         return plan
@@ -154,13 +167,29 @@ def best_fit(histogram: np.ndarray, capacity: int) -> Plan:
     return [(p, c) for left in rooms for p, c in room[left]]
 
 
+def sequences_of(plan: Plan) -> int:
+    return sum(times for _, times in plan)
+
+
 def plan_for(histogram: np.ndarray, capacity: int) -> Plan:
-    plan = fitted(histogram, capacity)
-    left = histogram.astype(np.int64).copy()
-    for pattern, times in plan:
-        for p in pattern:
-            left[p] -= times
-    return plan + best_fit(left, capacity)
+    """The plan of the fewest sequences among those after each round of fitting, none included."""
+    plan, left = [], histogram.astype(np.int64).copy()
+    best = best_fit(left, capacity)
+    for _ in range(ROUNDS):
+        more = fitted(left, capacity)
+        if not more:
+            break
+        before = int(left.sum())
+        plan = plan + more
+        for pattern, times in more:
+            for p in pattern:
+                left[p] -= times
+        found = plan + best_fit(left, capacity)
+        if sequences_of(found) <= sequences_of(best):
+            best = found
+        if 20 * (before - int(left.sum())) < before:  # little is taken any more
+            break
+    return best
 
 
 def places(plan: Plan) -> np.ndarray:
