@@ -9,16 +9,25 @@ base kinds equal the leftmost matches, without overlap inside a kind, of
     card   [0-9]([ -]?[0-9])+, 12 to 19 digits with a valid check digit
     phone  \\+[0-9][ ().0-9-]+[0-9], 9 to 15 digits
 
-The further kinds are ``login`` (an address with user and password after its scheme), ``tel`` (digits after the scheme), and
-``iban``, ``ssn`` and ``account`` (a number after a cue, valid by its own rule). Offsets are code points, ends exclusive.
+The further kinds are ``url`` (scheme and a valid host), ``login`` (an address with user and password after its scheme),
+``ipv6`` (around a colon, valid by its groups), ``tel`` (digits after the scheme), ``iban``, ``ssn`` and ``account`` (a
+number after a cue, valid by its own rule) and ``secret`` (a key, token or password of many different characters, letters
+and digits, after a cue and an equals sign or colon). Offsets are code points, ends exclusive.
 
-Defined cases: null and empty texts have no spans; whole texts are read, however long; repeated rows give equal
-results; null ids stay null; extra columns pass through ``redact``.
+Every parser reads a bounded neighbourhood of its anchor, or a run that no later anchor of its kind reads again, so the
+work grows in proportion to the text, whatever it holds.
+
+Defined cases: null and empty texts have no spans; whole texts are read, however long; overlapping spans of different kinds
+are all reported; repeated rows give equal results; null ids stay null; empty tables give empty tables; extra columns
+pass through ``redact``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
+import math
+from collections import Counter
 
 import ahocorasick
 import pyarrow as pa
@@ -28,7 +37,8 @@ from pyspark.sql import functions as F
 from slicemill.llm.common import map_batches, slices
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = BASE + ("login", "tel", "iban", "ssn", "account")
+KINDS = BASE + ("login", "tel", "iban", "ssn", "account", "secret", "ipv6", "url")
+MASKED = frozenset(KINDS) - {"url"}  # an address without a login is public
 ORDER = {k: i for i, k in enumerate(KINDS)}
 DIGITS = frozenset("0123456789")
 LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
@@ -36,7 +46,13 @@ LABEL = LETTERS | DIGITS | {"-"}
 LOCAL = LABEL | frozenset("._%+")
 PHONE = DIGITS | frozenset(" ().-")
 CUES = {"iban": "iban", "ssn": "ssn", "account": "account", "acct": "account", "konto": "account"}
+SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key")
 REACH = 12  # characters between a cue and its number
+IBAN, GROUPED = range(15, 35), frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz ")
+SECRET, ENTROPY = range(16, 201), 2.5  # characters of a secret and their bits each, at least
+SECRET_RUN = LETTERS | DIGITS | frozenset("+/_-")
+GROUPS = frozenset("0123456789abcdefABCDEF:")
+HOST_END = frozenset(" \t\r\n/?#\"'<>")
 
 
 def anchors() -> ahocorasick.Automaton:
@@ -45,15 +61,17 @@ def anchors() -> ahocorasick.Automaton:
         found.add_word(c, ("digit", 1))
     for text, kind in (("@", "email"), ("+", "phone"), ("://", "login"), ("tel:", "tel"), ("TEL:", "tel"), ("Tel:", "tel")):
         found.add_word(text, (kind, len(text)))
-    for cue, kind in CUES.items():
+    found.add_word(":", ("ipv6", 1))
+    for cue, kind in [*CUES.items(), *((c, "secret") for c in SECRET_CUES)]:
         for form in (cue, cue.upper(), cue.capitalize()):
             found.add_word(form, (kind, len(form)))
     found.make_automaton()
     return found
 
 
-def run_end(text: str, at: int, allowed: frozenset) -> int:
-    n = len(text)
+def run_end(text: str, at: int, allowed: frozenset, most: int | None = None) -> int:
+    """End of the run of allowed characters, at most ``most`` of them."""
+    n = len(text) if most is None else min(len(text), at + most)
     while at < n and text[at] in allowed:
         at += 1
     return at
@@ -112,18 +130,86 @@ def phone(text: str, at: int) -> tuple[int, int, bool] | None:
     return at, end, 9 <= digits <= 15
 
 
-def login(text: str, at: int) -> tuple[int, int] | None:
-    """scheme://user:password@host, from the colon of the scheme."""
+def login(text: str, at: int) -> tuple[str, int, int] | None:
+    """login: scheme://user:password@host, url: scheme://host and what follows; from the colon of the scheme."""
     start = at
     while start > 0 and at - start < 20 and text[start - 1] in LETTERS:
         start -= 1
     if start == at:
         return None
     end = at + 3
-    while end < len(text) and text[end] not in " \t\r\n/?#\"'<>":
+    while end < len(text) and text[end] not in HOST_END:
         end += 1
     user, sign, host = text[at + 3:end].rpartition("@")
-    return (start, end) if sign and ":" in user and user[0] != ":" and host and host[0] in LABEL else None
+    if sign and ":" in user and user[0] != ":" and host and host[0] in LABEL:
+        return "login", start, end
+    if sign or not valid_host(host):
+        return None
+    if end < len(text) and text[end] == "/":
+        while end < len(text) and text[end] not in " \t\r\n\"'<>":
+            end += 1
+    while text[end - 1] in ".,;:!?":
+        end -= 1
+    return "url", start, end
+
+
+def valid_host(host: str) -> bool:
+    """Labels with dots, the last of two and more letters, or four numbers; a port may follow."""
+    name, colon, port = host.rstrip(".,;:!?").partition(":")
+    if colon and not (port.isascii() and port.isdigit() and int(port[:6]) < 65536) or len(name) > 253:
+        return False
+    labels = name.split(".")
+    if len(labels) < 2 or not all(0 < len(x) < 64 and LABEL.issuperset(x) and x[0] != "-" and x[-1] != "-" for x in labels):
+        return False
+    return len(labels[-1]) > 1 and LETTERS.issuperset(labels[-1]) or len(labels) == 4 and all(DIGITS.issuperset(x) and at_most_255(x) for x in labels)
+
+
+def iban(text: str, start: int) -> tuple[int, int] | None:
+    """The longest valid number from ``start`` on, in groups or not; only as far as a number can reach."""
+    own, ends, at = [], [], start
+    while at < len(text) and text[at] in GROUPED and len(own) < IBAN.stop - 1 and at - start < 2 * IBAN.stop:
+        if text[at] != " ":
+            own.append(text[at].upper())
+            ends.append(at + 1)
+        at += 1
+    if len(own) < IBAN.start or not ("".join(own[:2]).isalpha() and "".join(own[2:4]).isdigit()):
+        return None
+    for size in range(len(own), IBAN.start - 1, -1):
+        if int("".join(str(int(c, 36)) for c in own[4:size] + own[:4])) % 97 == 1:
+            return start, ends[size - 1]
+    return None
+
+
+def secret(text: str, at: int) -> tuple[int, int] | None:
+    """The value behind a cue that ends at ``at``: a sign in between, letters and digits, of many different characters."""
+    start = at
+    while start < len(text) and start - at < REACH and text[start] in " :=\"'`>":
+        start += 1
+    if not any(c in "=:" for c in text[at:start]):
+        return None
+    end = run_end(text, start, SECRET_RUN, SECRET.stop)
+    size = end - start
+    if size not in SECRET:
+        return None
+    counts = Counter(text[start:end])
+    if DIGITS.isdisjoint(counts) or LETTERS.isdisjoint(counts):
+        return None
+    return (start, end) if -sum(n / size * math.log2(n / size) for n in counts.values()) >= ENTROPY else None
+
+
+def ipv6(text: str, at: int, floor: int) -> tuple[int, int, bool]:
+    """The run of groups around the colon at ``at`` and whether it is an address."""
+    start, end = at, run_end(text, at, GROUPS)
+    while start > floor and text[start - 1] in GROUPS:
+        start -= 1
+    value = text[start:end]
+    if not 3 <= len(value) <= 39 or value.count(":") < 2 or value.strip(":") == "" or start and text[start - 1] in LABEL or end < len(text) and text[end] in LABEL:
+        return start, end, False
+    try:
+        ipaddress.IPv6Address(value)
+    except ValueError:
+        return start, end, False
+    return start, end, True
 
 
 def numbered(text: str, kind: str, at: int) -> tuple[int, int] | None:
@@ -134,17 +220,7 @@ def numbered(text: str, kind: str, at: int) -> tuple[int, int] | None:
     if start == at and kind != "tel" or start >= len(text):
         return None
     if kind == "iban":
-        end = run_end(text, start, LETTERS | DIGITS | {" "})
-        for size in range(34, 14, -1):
-            own, used = [], start
-            while used < end and len(own) < size:
-                if text[used] != " ":
-                    own.append(text[used])
-                used += 1
-            value = "".join(own).upper()
-            if len(value) == size and value[:2].isalpha() and value[2:4].isdigit() and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1:
-                return start, used
-        return None
+        return iban(text, start)
     if text[start] not in DIGITS:
         return None
     runs = chain(text, start, "-" if kind == "ssn" else " -.")
@@ -164,7 +240,7 @@ class Finder:
     def __call__(self, text: str | None) -> list[tuple[int, int, str, int]]:
         """Spans (start, place of the kind, kind, end), sorted."""
         found = []
-        last = {"email": 0, "ip": 0, "card": 0, "phone": 0, "login": 0, "tel": 0, "iban": 0, "ssn": 0, "account": 0}
+        last = dict.fromkeys(KINDS, 0)
 
         def add(kind, start, end):
             found.append((start, ORDER[kind], kind, end))
@@ -193,8 +269,17 @@ class Finder:
                     if span[2]:
                         add("phone", *span[:2])
             elif kind == "login":
-                if at >= last["login"] and (span := login(text, at)):
-                    add("login", *span)
+                if at >= max(last["login"], last["url"]) and (span := login(text, at)):
+                    add(*span)
+            elif kind == "ipv6":
+                if at >= last["ipv6"]:
+                    start, stop, valid = ipv6(text, at, last["ipv6"])
+                    last["ipv6"] = stop
+                    if valid:
+                        add("ipv6", start, stop)
+            elif kind == "secret":
+                if end + 1 >= last["secret"] and (span := secret(text, end + 1)):
+                    add("secret", *span)
             elif end + 1 >= last[kind] and (at == 0 or text[at - 1] not in LETTERS) and (span := numbered(text, kind, end + 1)):
                 add(kind, *span)
         found.sort()
@@ -212,18 +297,19 @@ def finder() -> Finder:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts of the base kinds, a digest of the base spans and all spans as text."""
-    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in BASE) + ", base_sha256 string, spans string"
+    """doc_id, the count of every kind, a digest of the base spans and all spans as text."""
+    schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string"
 
     def start():
         look = finder()
 
         def run(batch: pa.RecordBatch) -> dict[str, list]:
-            out = {f"n_{k}": [] for k in BASE} | {"base_sha256": [], "spans": []}
+            out = {f"n_{k}": [] for k in KINDS} | {"base_sha256": [], "spans": []}
             for text in batch.column("text").to_pylist():
                 found = look(text)
-                for k in BASE:
-                    out[f"n_{k}"].append(sum(s[2] == k for s in found))
+                kinds = Counter(s[2] for s in found)
+                for k in KINDS:
+                    out[f"n_{k}"].append(kinds[k])
                 out["base_sha256"].append(hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, o, k, b in found if o < len(BASE)).encode()).hexdigest())
                 out["spans"].append(",".join(f"{k}:{a}:{b}" for a, _, k, b in found))
             return out | {"doc_id": batch.column("doc_id")}
@@ -232,25 +318,27 @@ def find(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), start, schema)
 
 
-def masked(text: str | None) -> str | None:
-    """The text with every span replaced by its kind; overlapping spans become one of the first one's kind."""
+def masked(text: str | None, kinds: frozenset[str] = MASKED) -> str | None:
+    """The text with every span of ``kinds`` replaced by its kind; overlapping spans become one of the first one's kind."""
     if not text:
         return text
     out, done = [], 0
     for start, _, kind, end in finder()(text):
+        if kind not in kinds:
+            continue
         if start >= done:
             out += [text[done:start], f"<{kind.upper()}>"]
         done = max(done, end)
     return "".join(out) + text[done:]
 
 
-def redact(docs: DataFrame) -> DataFrame:
+def redact(docs: DataFrame, kinds: frozenset[str] = MASKED) -> DataFrame:
     """``docs`` with masked texts."""
     def run(batches):
         for batch in batches:
             for some in slices(batch):
                 at = some.schema.get_field_index("text")
-                text = pa.array([masked(t) for t in some.column(at).to_pylist()], some.schema.field(at).type)
+                text = pa.array([masked(t, kinds) for t in some.column(at).to_pylist()], some.schema.field(at).type)
                 yield some.set_column(at, some.schema.field(at), text)
 
     return docs.mapInArrow(run, docs.schema)

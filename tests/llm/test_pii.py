@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from slicemill.llm import pii
 
@@ -36,10 +37,46 @@ def test_added_kinds():
     kinds = {s[2]: text[s[0]:s[3]] for s in pii.finder()(text)}
     assert kinds["iban"] == "DE89 3704 0044 0532 0130 00" and kinds["ssn"] == "123-45-6789" and kinds["account"] == "12345678"
     assert kinds["login"] == "https://u:p@h.com" and kinds["tel"] == "0301234567"
-    for clean in ("iban DE88 3704 0044 0532 0130 00", "ssn 000-12-3456", "account of 3", "https://example.com/a", "accounts 12", "telephone"):
+    for clean in ("iban DE88 3704 0044 0532 0130 00", "ssn 000-12-3456", "account of 3", "https://example/a", "accounts 12", "telephone"):
         assert pii.finder()(clean) == [], clean
 
 
+def kinds_of(text):
+    return {s[2]: text[s[0]:s[3]] for s in pii.finder()(text)}
+
+
+def test_secrets():
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    for cue in (f'token = "{value}" then', f"TOKEN: {value}", f"my_api_key='{value}'", f"password={value}"):
+        assert kinds_of(cue) == {"secret": value}, cue
+    for clean in (f"a token {value}", "token = " + "ab1" * 5, "token = " + "a" * 40, "token = " + "a1" * 20, "token = onlylettersinthisvalueofmany", "token = " + "a1b2c3d4e5f6g7h8" * 20):
+        assert "secret" not in kinds_of(clean), clean
+
+
+def test_addresses():
+    assert kinds_of("see http://www.a-b.org/x?y=1. Or") == {"url": "http://www.a-b.org/x?y=1"}
+    assert kinds_of("ftp://10.0.0.1:21 x") == {"url": "ftp://10.0.0.1:21", "ip": "10.0.0.1"}
+    assert kinds_of("at 2001:db8::8a2e:370:7334, ok") == {"ipv6": "2001:db8::8a2e:370:7334"}
+    assert kinds_of("1:2:3:4:5:6:7:8") == {"ipv6": "1:2:3:4:5:6:7:8"}
+    for clean in ("12:30:45", "a::b::c", "std::vector", "1:2:3:4:5:6:7:8:9", "::", "http://localhost", "http://-a.de", "http://a..de", "x://"):
+        assert not {"ipv6", "url"} & set(kinds_of(clean)), clean
+
+
+def test_work_grows_with_the_text_alone():
+    """Every anchor and cue, repeated 300 KB long with what its parser looks for."""
+    find = pii.finder()
+    units = ["iban a ", "iban DE89 3704 0044 0532 0130 ", "a@", "@a.b", "a.b", "+1 ", "+1(", "1.", "1 ", "1-", "x://", "x://a.", "http://a:b", "tel:1", "ssn 1", "account 1 ", "token = a1",
+             "token=", "a:", "::", "1:2", "secret: ", "key ", "iban", "password", "4111 1111 1111 1111 ", "1.2.3.4", "a@b.c ", "http://a.de/"]
+    for unit in units:
+        began = time.perf_counter()
+        find(unit * (300_000 // len(unit)))
+        assert time.perf_counter() - began < 15, unit
+    for long in ("a" * 1_000_000, "1" * 1_000_000, "f:" * 500_000, "a@" + "b" * 1_000_000, "b" * 1_000_000 + "@c.d"):
+        began = time.perf_counter()
+        find("iban " + long + " token = " + long)
+        assert time.perf_counter() - began < 15
+
+
 def test_frames(docs_of, awkward):
     docs = docs_of([(1, "mail a.b@c.de now"), (2, None), (3, "é 1.2.3.4 and 4111 1111 1111 1111")])
     rows = {r.doc_id: r for r in pii.find(docs).collect()}
