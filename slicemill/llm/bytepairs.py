@@ -5,7 +5,8 @@ from __future__ import annotations
 import base64
 from array import array
 
-KEPT, KEPT_COUNTS = 700_000, 800_000  # words, about 150 MB each
+KEPT, KEPT_COUNTS = 700_000, 800_000  # words
+KEPT_CHARS = 12_000_000               # of these words; about 200 MB in all, whatever the language
 SPECIAL = {"<|endoftext|>": 50256}
 
 
@@ -17,12 +18,14 @@ class Words(dict):
     """
 
     def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.chars = encode, most, 0
         self.marks = {c: encode(c) for c in ".,;:!?"}
 
     def __missing__(self, word: str):
-        if len(self) >= self.most:
+        if len(self) >= self.most or self.chars > KEPT_CHARS:
             self.clear()
+            self.chars = 0
+        self.chars += len(word)
         if not word or word[0].isspace() or word[-1].isspace():
             out = None
         elif word[-1] in self.marks and word[:-1].isalpha():  # letters and marks are runs of their own

@@ -1,36 +1,47 @@
 """Training-order materialisation: a keyed Feistel permutation gives every sequence its slot.
 
-The documents of a file split, in stored order, are one stream of token ids with an end id after each; it is cut into
-sequences of ``LENGTH`` ids, and only the last one of a split is filled up with end ids. A first pass counts the ids of each
-split, so that every sequence has a dense index. The permutation is a balanced Feistel network over the next even power of
-two; results outside the range are walked on until they fall inside. Slot ranges are shards: each is written by one task as a
-file of fixed stride, under a name of that attempt, and then moved to its place, so a lost executor or a repeated task leaves
-whole files only. A reader finds slot s at byte ``stride * (s % records)`` of shard ``s // records``.
-
-The counts are one row for each split, which is what the driver collects; sequences and ids never are.
-
-Defined cases: null and empty texts are one end id; repeated rows are written as often as they come; an empty table gives no
-shards; null ids are listed as such; extra columns are not used.
+The documents of a block, ``ROWS`` successive rows of a file, are one stream of token ids with an end id after each; it is
+cut into sequences of ``LENGTH`` ids, and the last one of a block is filled up with end ids. Blocks follow from the
+files alone, so the same files and key give the same order on any cluster. Texts are encoded once: a task stores the
+packed sequences of its blocks, and of a block that two tasks share the loose parts, which are then put together. The
+sizes of the blocks give every sequence a dense index. The permutation is a balanced Feistel network over the next even
+power of two; results outside the range are walked on until they fall inside. Tasks get ranges of slots by their
+number, without a sample, and write them as shards of fixed stride: each under a name of that attempt, then moved to its place,
+so a lost executor or a repeated task leaves whole files only. A manifest is written last; without it nothing is
+read. A reader finds slot s at byte ``stride * (s % records)`` of shard ``s // records``.
+
+The driver gets one row for each file; block sizes are broadcast up to ``BROADCAST_BLOCKS`` (about 100 bytes each) and
+joined by a shuffle beyond.
+
+Defined cases: null and empty texts are one end id; repeated rows are written as often as they come; a very long text is
+encoded in one piece and cut into sequences like any other; there are no ties, as no two sequences share a slot; an empty
+table gives a manifest and no shards; null ids are listed as such; extra columns are not used.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from slicemill.llm.bytepairs import encoder
-from slicemill.llm.common import map_batches, shuffle_partitions, slices
+from slicemill.llm.common import shuffle_partitions, slices, written
 
 LENGTH, END, RECORDS = 1024, 50256, 4096
+ROWS = 512        # of a block
+SHARDS = 16       # that one task writes, at most
 ROUNDS = 6
+BROADCAST_BLOCKS = 400_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -65,77 +76,152 @@ class Permutation:
         return x.astype(np.int64)
 
 
-def splits(stored: DataFrame) -> DataFrame:
-    """A plain read of files with the split that each row belongs to; it is the same in every scan."""
-    return stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+def stored_rows(stored: DataFrame) -> DataFrame:
+    """A plain read of Parquet files with the file and the place in it of every row."""
+    return stored.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
-def token_counts(rows: DataFrame, vocabulary: str | None) -> DataFrame:
-    def start():
-        code = encoder(vocabulary, "H")
-        return lambda batch: {"file": batch.column("file"), "block": batch.column("block"), "n": [code.size(t) + 1 for t in batch.column("text").to_pylist()]}
+class Stream:
+    """Cuts the ids of successive documents into sequences; ``made`` are those that are full: place, ids, documents."""
 
-    return map_batches(rows.select("file", "block", "text"), start, "file string, block long, n long").groupBy("file", "block").agg(F.sum("n").alias("n"))
+    def __init__(self, width: int, at: int = 0):
+        self.width, self.at, self.made = width, at, []
+        self.held, self.docs, self.room = [], [], width
 
+    def add(self, ids: bytes, docs: list) -> None:
+        done = 0
+        while done < len(ids):
+            part = ids[done:done + self.room]
+            self.held.append(part)
+            self.docs += [d for d in docs if not self.docs or self.docs[-1] != d]
+            done += len(part)
+            self.room -= len(part)
+            if not self.room:
+                self.close()
 
-def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH, records: int = RECORDS, end: int = END, vocabulary: str | None = None) -> DataFrame:
-    """Writes the shards below ``target``, a folder that all executors reach, when the result is computed. The result
-    has one row for each sequence: slot, shard, n_tokens, doc_ids (those it holds ids of), ids_crc32 (of the record)."""
-    rows = splits(stored)
-    counts = sorted((r.file, r.block, -(-r.n // length)) for r in token_counts(rows, vocabulary).collect())
-    base, total = {}, 0
-    for file, block, n in counts:
-        base[file, block] = total
-        total += n
-    order = Permutation(max(1, total), key)
-    filler = np.array([end], "<u2").tobytes()
+    def close(self) -> None:
+        if self.held:
+            self.made.append((self.at, b"".join(self.held), self.docs))
+            self.at += 1
+        self.held, self.docs, self.room = [], [], self.width
+
+
+ENCODED = "file string, block long, at long, row long, n_tokens long, ids binary, doc_ids array<long>"
 
-    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(vocabulary, "H")
-        code.counts.clear()  # of the first pass
-        now, index, held, ids, out = None, 0, [], [], []  # held: parts of the open sequence
 
-        def close(parts, docs):
-            nonlocal index
-            out.append((index, b"".join(parts), docs))
-            index += 1
+class Batch:
+    """Rows of ENCODED on their way out; ``row`` is set for loose parts only."""
 
-        def batch_of() -> pa.RecordBatch:
-            slots = order(np.array([o[0] for o in out], np.uint64))
-            made = pa.RecordBatch.from_arrays([pa.array(slots), pa.array([o[1] for o in out], pa.binary()), pa.array([o[2] for o in out], pa.list_(pa.int64()))], ["slot", "ids", "doc_ids"])
-            out.clear()
-            return made
+    def __init__(self):
+        self.codec, self.rows, self.size = pa.Codec("zstd"), [], 0
+
+    def put(self, file: str, block: int, at: int | None, row: int | None, ids: bytes, docs: list) -> None:
+        self.rows.append((file, block, at, row, len(ids) // 2, self.codec.compress(ids, asbytes=True), docs))
+        self.size += len(ids)
+
+    def take(self) -> pa.RecordBatch:
+        columns, self.rows, self.size = list(zip(*self.rows)), [], 0
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in ENCODED.split(", ")])
+
+
+def encoded(rows: DataFrame, length: int, end: int, rows_each: int, vocabulary: str | None) -> DataFrame:
+    """Full sequences of the blocks, and the loose parts of blocks that a task has not seen whole."""
+    width = 2 * length
+    filler = np.array([end], "<u2").tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, out = encoder(vocabulary, "H"), Batch()
+        now = stream = last = first = None  # stream: of a block seen from its start
+
+        def leave():
+            """The block ends here, for this task at least."""
+            if stream is None:
+                return
+            if last % rows_each < rows_each - 1:  # others may count on, from here
+                out.put(*now, stream.at, first, b"".join(stream.held), stream.docs)
+                return
+            stream.close()
+            for at, ids, docs in stream.made:
+                out.put(*now, at, None, ids, docs)
 
         for batch in batches:
             for some in slices(batch):
-                for file, block, doc_id, text in zip(*(some.column(c).to_pylist() for c in ("file", "block", "doc_id", "text"))):
-                    if (file, block) != now:
-                        if held:
-                            close(held, ids)
-                        now, index, held, ids, room = (file, block), base[file, block], [], [], 2 * length
-                    own, at = code(text) + filler, 0
-                    while at < len(own):
-                        part = own[at:at + room]
-                        held.append(part)
-                        if not ids or ids[-1] != doc_id:
-                            ids.append(doc_id)
-                        at += len(part)
-                        room -= len(part)
-                        if room == 0:
-                            close(held, ids)
-                            held, ids, room = [], [], 2 * length
-                if out:
-                    yield batch_of()
-        if held:
-            close(held, ids)
-        if out:
-            yield batch_of()
-
-    stride = 2 * length
+                for file, row, doc_id, text in zip(*(some.column(c).to_pylist() for c in ("file", "row", "doc_id", "text"))):
+                    if (file, row // rows_each) != now:
+                        leave()
+                        now, first = (file, row // rows_each), row
+                        stream = Stream(width) if row % rows_each == 0 else None
+                    ids, last = code(text) + filler, row
+                    if stream is None:
+                        out.put(*now, None, row, ids, [doc_id])
+                    else:
+                        stream.add(ids, [doc_id])
+                        for at, full, docs in stream.made:
+                            out.put(*now, at, None, full, docs)
+                        stream.made.clear()
+                    if out.size > 8 << 20:
+                        yield out.take()
+        leave()
+        if out.rows:
+            yield out.take()
+
+    return rows.mapInArrow(run, ENCODED)
+
+
+def mended(parts: DataFrame, length: int) -> DataFrame:
+    """The sequences that the loose parts of each block make; a part that counts on from full sequences comes first."""
+    width = 2 * length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, now, stream = Batch(), None, None
+        for batch in batches:
+            for file, block, at, n, ids, docs in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "at", "n_tokens", "ids", "doc_ids"))):
+                if (file, block) != now:
+                    if stream:
+                        stream.close()
+                        for made in stream.made:
+                            out.put(*now, made[0], None, *made[1:])
+                    now, stream = (file, block), Stream(width, at or 0)
+                stream.add(out.codec.decompress(ids, 2 * n, asbytes=True) if n else b"", docs)
+                for made in stream.made:
+                    out.put(*now, made[0], None, *made[1:])
+                stream.made.clear()
+                if out.size > 8 << 20:
+                    yield out.take()
+        if stream:
+            stream.close()
+            for made in stream.made:
+                out.put(*now, made[0], None, *made[1:])
+        if out.rows:
+            yield out.take()
+
+    dealt = parts.repartition(shuffle_partitions(parts.sparkSession), "file", "block").sortWithinPartitions("file", "block", "row")
+    return dealt.mapInArrow(run, ENCODED)
+
+
+def indexed(sequences: DataFrame) -> tuple[DataFrame, int]:
+    """The sequences with their dense index, by file, block and place, and their number."""
+    blocks = written(sequences.groupBy("file", "block").agg((F.max("at") + 1).alias("n")), "blocks")
+    files, total = [], 0
+    for r in sorted(blocks.groupBy("file").agg(F.sum("n").alias("n"), F.count("*").alias("blocks")).collect()):
+        files.append((r.file, total, r.blocks))
+        total += r.n
+    spark = sequences.sparkSession
+    start = spark.createDataFrame([f[:2] for f in files], "file string, file_base long")
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    bases = blocks.join(start, "file").select("file", "block", (F.col("file_base") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).alias("base"))
+    few = F.broadcast(bases) if sum(f[2] for f in files) <= BROADCAST_BLOCKS else bases
+    return sequences.join(few, ["file", "block"]).withColumn("index", F.col("base") + F.col("at")), total
+
+
+def writer(target: str, total: int, length: int, records: int, end: int):
+    """What writes the sorted sequences of whole shards and tells what it has written."""
+    filler, stride = np.array([end], "<u2").tobytes(), 2 * length
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = fs.FileSystem.from_uri(target)
-        system.create_dir(folder, recursive=True)
+        codec = pa.Codec("zstd")
         shard, stream, name, expected = None, None, None, 0
 
         def finish():
@@ -148,41 +234,74 @@ def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH,
         for batch in batches:
             for some in slices(batch):
                 slots, marks = some.column("slot").to_pylist(), []
-                for slot, ids in zip(slots, some.column("ids").to_pylist()):
+                for slot, n, ids in zip(slots, some.column("n_tokens").to_pylist(), some.column("ids").to_pylist()):
                     if slot // records != shard:
                         if stream:
                             finish()
                         shard = slot // records
                         name = f"{folder}/.attempt-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-                        stream, expected = system.open_output_stream(name), shard * records
+                        stream, expected = system.open_output_stream(name, compression=None), shard * records
                     if slot != expected:
                         raise RuntimeError(f"slot {slot} where {expected} was expected")
                     expected += 1
-                    record = ids + filler * ((stride - len(ids)) // 2)
+                    record = codec.decompress(ids, 2 * n, asbytes=True) + filler * (length - n)
                     stream.write(record)
-                    marks.append((slot, slot // records, len(ids) // 2, zlib.crc32(record)))
-                columns = list(zip(*marks)) or [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), some.column("doc_ids"), pa.array(columns[3], pa.int64())],
+                    marks.append((slot // records, zlib.crc32(record)))
+                columns = list(zip(*marks)) or [()] * 2
+                yield pa.RecordBatch.from_arrays([some.column("slot"), pa.array(columns[0], pa.int64()), some.column("n_tokens"), some.column("doc_ids"), pa.array(columns[1], pa.int64())],
                                                  ["slot", "shard", "n_tokens", "doc_ids", "ids_crc32"])
         if stream:
             finish()
 
-    made = rows.mapInArrow(sequences, "slot long, ids binary, doc_ids array<long>")
-    made = made.withColumn("shard", F.floor(F.col("slot") / records)).repartition(shuffle_partitions(stored.sparkSession), "shard").sortWithinPartitions("slot")
-    return made.select("slot", "ids", "doc_ids").mapInArrow(write, "slot long, shard long, n_tokens long, doc_ids array<long>, ids_crc32 long")
+    return write
+
+
+def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH, records: int = RECORDS, end: int = END, vocabulary: str | None = None, rows_each: int = ROWS) -> DataFrame:
+    """Writes the shards and, last, the manifest below ``target``, a folder that all executors reach. The result, stored as
+    well, has one row for each sequence: slot, shard, n_tokens, doc_ids (those it holds ids of), ids_crc32 (of the record)."""
+    spark = stored.sparkSession
+    found = written(encoded(stored_rows(stored), length, end, rows_each, vocabulary), "encoded")
+    loose = written(mended(found.where("row is not null"), length), "mended")
+    sequences, total = indexed(found.where("row is null").unionByName(loose))
+    order = Permutation(max(1, total), key)
+    slot = F.pandas_udf(lambda index: pd.Series(order(index.to_numpy(np.uint64))), "long")
+    shards = -(-total // records)
+    each = max(1, min(SHARDS, shards // shuffle_partitions(spark)))
+    made = sequences.select(slot("index").alias("slot"), "n_tokens", "ids", "doc_ids")
+    made = made.repartitionById(max(1, -(-shards // each)), F.floor(F.col("slot") / (records * each)).cast("int")).sortWithinPartitions("slot")
+    system, folder = fs.FileSystem.from_uri(target)
+    system.create_dir(folder, recursive=True)
+    report = written(made.mapInArrow(writer(target, total, length, records, end), "slot long, shard long, n_tokens long, doc_ids array<long>, ids_crc32 long"), "order")
+    name = f"{folder}/.manifest-{uuid.uuid4().hex}"
+    with system.open_output_stream(name, compression=None) as out:
+        out.write(json.dumps({"sequences": total, "shards": shards, "records": records, "length": length, "end": end, "key": key, "rows_each": rows_each}).encode())
+    system.move(name, f"{folder}/manifest.json")
+    return report
+
+
+def manifest(target: str) -> dict:
+    """What a finished set says of itself; FileNotFoundError for one that is not finished."""
+    system, folder = fs.FileSystem.from_uri(target)
+    with system.open_input_file(f"{folder}/manifest.json") as f:
+        return json.loads(f.read())
 
 
-def read(target: str, first: int, count: int, length: int = LENGTH, records: int = RECORDS) -> np.ndarray:
-    """Records of ``count`` slots from ``first`` on: one seek, then sequential reads."""
+def read(target: str, first: int, count: int) -> np.ndarray:
+    """The records of the slots from ``first`` on, at most ``count``: one seek in each shard, then sequential reads."""
     system, folder = fs.FileSystem.from_uri(target)
-    out = []
+    about = manifest(target)
+    length, records = about["length"], about["records"]
+    if not 0 <= first <= about["sequences"]:
+        raise IndexError(f"slot {first} of {about['sequences']}")
+    out, count = [], min(count, about["sequences"] - first)
     while count:
         shard, at = divmod(first, records)
         n = min(count, records - at)
         with system.open_input_file(f"{folder}/shard-{shard:08d}.bin") as f:
             f.seek(at * 2 * length)
-            out.append(np.frombuffer(f.read(n * 2 * length), "<u2").reshape(-1, length))
-        if len(out[-1]) < n:
-            break
+            raw = f.read(n * 2 * length)
+        if len(raw) != n * 2 * length:
+            raise ValueError(f"shard {shard} ends before slot {first + n}")
+        out.append(np.frombuffer(raw, "<u2").reshape(-1, length))
         first, count = first + n, count - n
     return np.concatenate(out) if out else np.zeros((0, length), "<u2")
