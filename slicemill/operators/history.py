@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slicemill.functions.aggregates import ordered_concat
 from slicemill.functions.columns import (
-    OPEN_END, date_key, day_name, iso_day_of_week, month_start, null_safe_key, order_columns, surrogate_key,
+    OPEN_END, date_key, day_name, iso_day_of_week, null_safe_key, order_columns, surrogate_key,
 )
 from slicemill.operators.relations import both_sides, explode_keep
 
@@ -90,21 +90,45 @@ def observations(matches: DataFrame) -> DataFrame:
                        F.col("m.id").cast("bigint").alias("manager_id"), F.col("m.name").alias("manager_name"))
 
 
-def next_start(versions: DataFrame, entity: Sequence[str], first="first_seen", last="last_seen") -> DataFrame:
-    """For each (entity, last day) the first start of any version after that day.
+def with_next_start(versions: DataFrame, entity: Sequence[str], first="first_seen", last="last_seen") -> DataFrame:
+    """``versions`` with ``next_start``: the first start of any version of the entity after the version's last day.
 
-    A start later than a version's last day belongs to another version, so the correlated minimum is
-    the next start on the entity's time line. The time line holds distinct days only: its length per
-    entity is bounded by the calendar, however many versions there are, which bounds the window.
+    A start later than a version's last day belongs to another version, so the correlated minimum is the next start on the
+    entity's time line. Every version is put on it twice, where it starts and where it was last seen; the frame runs from the
+    newest day down to the day after the row's own, so it is a running minimum. Versions, not observations, are sorted
+    per entity, and the sort spills.
     """
     entity = list(entity)
-    starts = versions.select(*entity, F.col(first).alias("_day"), F.col(first).alias("_start"))
-    asked = versions.select(*entity, F.col(last).alias("_day"), F.lit(None).cast("date").alias("_start"))
-    line = starts.unionByName(asked).groupBy(*entity, "_day").agg(F.max("_start").alias("_start"))
-    # newest day first, so that "later days" is a running frame instead of a growing one
-    later = (Window.partitionBy(*entity).orderBy(F.col("_day").desc())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    return line.select(*entity, F.col("_day").alias(last), F.min("_start").over(later).alias("next_start"))
+    rest = [c for c in versions.columns if c not in entity]
+    none = F.lit(None).cast("date")
+    row = F.struct(*rest)
+    line = versions.select(*entity, F.inline(F.array(
+        F.struct(F.col(first).alias("_day"), F.col(first).alias("_start"), F.when(F.lit(False), row).alias("_row")),
+        F.struct(F.col(last).alias("_day"), none.alias("_start"), row.alias("_row")))))
+    later = Window.partitionBy(*entity).orderBy(F.unix_date("_day").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    line = line.withColumn("next_start", F.min("_start").over(later))
+    return line.where(F.col("_row").isNotNull()).select(*entity, "_row.*", "next_start")
+
+
+def next_start(versions: DataFrame, entity: Sequence[str], first="first_seen", last="last_seen") -> DataFrame:
+    """For each (entity, last day) the first start of any version after that day."""
+    found = with_next_start(versions.select(*entity, first, last), entity, first, last)
+    return found.select(*entity, last, "next_start").distinct()
+
+
+def spans(obs: DataFrame, entity: Sequence[str], attr: str, date: str, attr_name: str | None = None) -> DataFrame:
+    """First and last day of each (entity, attribute value), and its greatest name: what can be merged with other spans."""
+    aggs = [F.min(date).alias("first_seen"), F.max(date).alias("last_seen")]
+    if attr_name:
+        aggs.insert(0, F.max(attr_name).alias(attr_name))
+    return obs.groupBy(*entity, attr).agg(*aggs)
+
+
+def versions_of_spans(found: DataFrame, entity: Sequence[str]) -> DataFrame:
+    """Spans as versions with ``[valid_from, valid_to)``, open where no version starts after the last day seen."""
+    out = with_next_start(found, entity)
+    out = out.select(*found.columns, F.coalesce("next_start", F.lit(OPEN_END)).alias("valid_to"))
+    return out.withColumnsRenamed({"first_seen": "valid_from", "last_seen": "last_observed_on"})
 
 
 def scd2_from_observations(obs: DataFrame, entity: Sequence[str], attr: str, date: str,
@@ -115,17 +139,7 @@ def scd2_from_observations(obs: DataFrame, entity: Sequence[str], attr: str, dat
     day seen, else the open end. Values seen on the same days give overlapping versions on purpose.
     A NULL value is a version of its own.
     """
-    entity = list(entity)
-    aggs = [F.min(date).alias("first_seen"), F.max(date).alias("last_seen")]
-    if attr_name:
-        aggs.insert(0, F.max(attr_name).alias(attr_name))
-    versions = obs.groupBy(*entity, attr).agg(*aggs)
-    ends = next_start(versions, entity)
-    ends = ends.withColumnsRenamed({c: f"_e_{c}" for c in [*entity, "last_seen"]})
-    cond = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in [*entity, "last_seen"]]
-    out = versions.join(ends, cond, "left").select(
-        *versions.columns, F.coalesce("next_start", F.lit(OPEN_END)).alias("valid_to"))
-    return out.withColumnsRenamed({"first_seen": "valid_from", "last_seen": "last_observed_on"})
+    return versions_of_spans(spans(obs, entity, attr, date, attr_name), entity)
 
 
 def dim_team(obs: DataFrame) -> DataFrame:
@@ -143,19 +157,15 @@ def dim_team(obs: DataFrame) -> DataFrame:
 
 def _slotted(points: DataFrame, versions: DataFrame, keys: Sequence[str], date: str, start: str,
              end: str) -> tuple[DataFrame, DataFrame]:
-    """Points and versions with the calendar month (``_slot``) to join on besides the entity.
+    """Points and versions with the calendar year (``_slot``) to join on besides the entity.
 
-    A version is repeated once per month that it can share with a point of its entity. A month has at
-    most 31 days, so distinct daily points meet a version at most 31 times per month, however many versions
-    an entity has, and an open end reaches no further than the points do.
+    A version is repeated once per year that it shares with any point, so an open end reaches no further than the
+    points do, and a point meets the versions of its entity's year only.
     """
-    keys = list(keys)
-    span = points.groupBy(*keys).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
-    met = versions.where(F.col(start) < F.col(end)).join(span, keys, "inner").where(
-        (F.col(start) <= F.col("_hi")) & (F.col(end) > F.col("_lo")))
-    months = F.sequence(month_start(F.greatest(F.col(start), F.col("_lo"))),
-                        month_start(F.least(F.date_sub(F.col(end), 1), F.col("_hi"))), F.expr("interval 1 month"))
-    return points.withColumn("_slot", month_start(date)), met.withColumn("_slot", F.explode(months)).drop("_lo", "_hi")
+    lo, hi = points.agg(F.min(date)).scalar(), points.agg(F.max(date)).scalar()
+    first, last = F.greatest(F.col(start), lo), F.least(F.date_sub(F.col(end), 1), hi)
+    met = versions.where((F.col(start) < F.col(end)) & (first <= last))
+    return points.withColumn("_slot", F.year(date)), met.withColumn("_slot", F.explode(F.sequence(F.year(first), F.year(last))))
 
 
 def valid_on(points: DataFrame, versions: DataFrame, keys: Sequence[str], date: str,
@@ -172,15 +182,18 @@ def join_valid_at(fact: DataFrame, versions: DataFrame, keys: Sequence[str], dat
                   take: Sequence[str], start: str = "valid_from", end: str = "valid_to") -> DataFrame:
     """Left join of facts to the version(s) valid on the event date; an overlap fans out.
 
-    Versions are looked up once per distinct (entity, day) and then joined by equality, so that the
-    range condition is not tried for every fact. Columns: those of the fact that are not taken, then
-    ``take``; a taken column replaces one of the fact of the same name.
+    Facts and versions are each dealt once, by entity and year; a hot entity's facts may be split by the skew rule.
+    Where an entity has very many versions a year, ``sweep.sweep_join`` tries none in vain. Columns: those of the fact that are
+    not taken, then ``take``; a taken column replaces one of the fact of the same name.
     """
     keys = list(keys)
-    narrow = versions.select(*[F.col(c) for c in keys], *[F.col(c).alias(f"_v_{c}") for c in dict.fromkeys([start, end, *take])])
-    found = valid_on(fact, narrow, keys, date, f"_v_{start}", f"_v_{end}").select(*keys, date, *[f"_v_{c}" for c in take])
+    names = dict.fromkeys([start, end, *take])
+    narrow = versions.select(*[F.col(c).alias(f"_k_{c}") for c in keys], *[F.col(c).alias(f"_v_{c}") for c in names])
     kept = [c for c in fact.columns if c not in take]
-    return fact.select(*kept).join(found, [*keys, date], "left").select(*kept, *[F.col(f"_v_{c}").alias(c) for c in take])
+    facts, slots = _slotted(fact.select(*kept), narrow, [f"_k_{c}" for c in keys], date, f"_v_{start}", f"_v_{end}")
+    on = [F.col(c) == F.col(f"_k_{c}") for c in keys] + [facts["_slot"] == slots["_slot"]]
+    on += [F.col(date) >= F.col(f"_v_{start}"), F.col(date) < F.col(f"_v_{end}")]
+    return facts.join(slots, on, "left").select(*kept, *[F.col(f"_v_{c}").alias(c) for c in take])
 
 
 def overlapping_versions(versions: DataFrame, keys: Sequence[str], version_key: str, take: Sequence[str] = (),
@@ -188,7 +201,7 @@ def overlapping_versions(versions: DataFrame, keys: Sequence[str], version_key:
     """Pairs of versions of one entity whose half-open intervals intersect, each pair once.
 
     Two intervals intersect only if the later start lies inside the other one, so starts are looked up
-    in the intervals of their month instead of comparing all pairs of the entity.
+    in the intervals of their year instead of comparing all pairs of the entity.
     """
     keys = list(keys)
     cols = list(dict.fromkeys([version_key, start, end, *take]))
