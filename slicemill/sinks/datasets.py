@@ -11,14 +11,11 @@ from pyspark.sql import types as T
 
 from slicemill.functions.columns import slice_bounds
 from slicemill.operators.quality import QueryRule, RowRule, gate, reject_counts, run_rules, violators
+from slicemill.sinks.observed import RoundTripError
 
 BUCKET = "year_bucket"
 
 
-class RoundTripError(ValueError):
-    """Data read back differs from the data written."""
-
-
 class RuleViolation(ValueError):
     """A write refused because its rows break a rule."""
 

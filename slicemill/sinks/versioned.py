@@ -1,4 +1,4 @@
-"""Tables with a commit log on plain Parquet: snapshots, slice publication, labelled copies.
+"""Slice publication with a log on plain Parquet, catalog tables, labelled copies.
 
 Data folders are written first and a log record last. Readers follow the log only, so a job that dies
 half way leaves a folder nobody reads, and a repeat simply writes another one.
@@ -7,21 +7,20 @@ half way leaves a folder nobody reads, and a repeat simply writes another one.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicemill.functions.aggregates import digest
-from slicemill.functions.columns import date_slice, slice_bounds
+from slicemill.functions.aggregates import count_where, digest
+from slicemill.functions.columns import holds, slice_bounds
 from slicemill.operators.marts import MART_COLS, MART_KEY
 from slicemill.operators.quality import gate, unique_combination
 from slicemill.operators.relations import with_scalar
+from slicemill.sinks.observed import remove_folder, stored, write_observed
 from slicemill.sources.inline import values
 
-SNAPSHOT_LOG = ("snapshot_id bigint, committed_at timestamp, operation string, added_records bigint, "
-                "total_records bigint")
 PUBLICATION_LOG = ("publication_id bigint, run_id string, scenario string, slice_start date, slice_end date, "
                    "rows_published bigint, checksum string, published_at timestamp")
 
@@ -59,88 +58,6 @@ class _Log:
         values(self.spark, [row], self.schema).coalesce(1).write.mode("append").parquet(self.path)
 
 
-# --- snapshots ---------------------------------------------------------------------------------
-
-class SnapshotTable:
-    """Create-or-replace and append with a history of snapshots.
-
-    ``transform`` is ``"months"`` or ``"days"`` of a date or timestamp column: the derived partition
-    column is written beside the data, and ``between`` adds the predicate that prunes it.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, transform: tuple[str, str] | None = None):
-        self.spark, self.root, self.transform = spark, root, transform
-        self.log = _Log(spark, f"{root}/log", SNAPSHOT_LOG)
-
-    def _derived(self) -> Column | None:
-        if self.transform is None:
-            return None
-        kind, col = self.transform
-        return F.trunc(F.col(col), "MM") if kind == "months" else F.to_date(F.col(col))
-
-    @property
-    def _part(self) -> str:
-        return f"_{self.transform[0]}"
-
-    def _commit(self, df: DataFrame, operation: str) -> int:
-        sid = self.log.next_id("snapshot_id")
-        earlier = 0
-        if operation == "append":
-            newest = F.max_by("total_records", "snapshot_id").alias("n")
-            earlier = self.log.read().agg(newest).first()["n"] or 0
-        folder = f"{self.root}/data/snapshot_id={sid}"
-        out = df if self.transform is None else df.withColumn(self._part, self._derived())
-        writer = out if self.transform is None else out.hint("rebalance", self._part)
-        w = writer.write.mode("overwrite").option("compression", "snappy")
-        (w if self.transform is None else w.partitionBy(self._part)).parquet(folder)
-        added = self.spark.read.schema(df.schema).parquet(folder).count()
-        self.log.append((sid, dt.datetime.now(dt.timezone.utc), operation, added, earlier + added))
-        return sid
-
-    def create_or_replace(self, df: DataFrame) -> int:
-        return self._commit(df, "overwrite")
-
-    def append(self, df: DataFrame) -> int:
-        return self._commit(df, "append")
-
-    def _current(self) -> DataFrame:
-        """Data of the newest snapshot: the last replacement and all logged appends after it."""
-        base = F.max(F.when(F.col("operation") == "overwrite", F.col("snapshot_id"))).alias("base")
-        ids = self.log.read().agg(base, F.max("snapshot_id").alias("top")).first()
-        df = self.spark.read.option("basePath", f"{self.root}/data").parquet(f"{self.root}/data")
-        return df.where(F.col("snapshot_id").between(ids["base"], ids["top"])).drop("snapshot_id")
-
-    def read(self) -> DataFrame:
-        return self._current() if self.transform is None else self._current().drop(self._part)
-
-    def between(self, start, end) -> DataFrame:
-        """Rows of a half-open date slice, with the predicate on the derived partition column."""
-        lo, hi = slice_bounds(start, end)
-        kind, col = self.transform
-        first = lo.replace(day=1) if kind == "months" else lo
-        part, day = F.col(self._part), F.to_date(F.col(col))
-        df = self._current().where((part >= F.lit(first)) & (part < F.lit(hi)))
-        return df.where((day >= F.lit(lo)) & (day < F.lit(hi))).drop(self._part)
-
-    def snapshots(self) -> DataFrame:
-        """History: id, commit time, operation and a summary map, oldest first."""
-        summary = F.create_map(F.lit("added-records"), F.col("added_records").cast("string"),
-                               F.lit("total-records"), F.col("total_records").cast("string"))
-        return self.log.read().select("snapshot_id", "committed_at", "operation",
-                                      summary.alias("summary")).orderBy("snapshot_id")
-
-
-def snapshot_history(table: SnapshotTable) -> DataFrame:
-    """Snapshot list with the running record count looked up in the summary map."""
-    return table.snapshots().select("snapshot_id", "committed_at", "operation",
-                                    F.col("summary")["total-records"].cast("bigint").alias("total_records"))
-
-
-def new_snapshots(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Snapshot ids that a write added."""
-    return after.select("snapshot_id").join(before.select("snapshot_id"), "snapshot_id", "left_anti")
-
-
 def create_table_as(df: DataFrame, name: str, transform: tuple[str, str]) -> None:
     """Create-or-replace a catalog table partitioned by ``months(col)`` or ``days(col)``.
 
@@ -161,12 +78,39 @@ def create_table_as(df: DataFrame, name: str, transform: tuple[str, str]) -> Non
 
 # --- publication -------------------------------------------------------------------------------
 
+def owned_intervals(slices: Iterable[tuple[int, dt.date, dt.date]]) -> list[tuple[dt.date, dt.date, int]]:
+    """Disjoint half-open intervals with the last publication that covers them, from (publication, start, end).
+
+    A sweep over the starts and ends in order of their days: open publications lie on a heap, the last one on top, and
+    leave it when they are met there after their end. Neighbours of one owner are one interval.
+    """
+    starts = sorted((start, pid, end) for pid, start, end in slices if start < end)
+    days = sorted({d for start, _, end in starts for d in (start, end)})
+    out: list[tuple[dt.date, dt.date, int]] = []
+    heap: list[tuple[int, dt.date]] = []
+    at = 0
+    for day, following in zip(days, days[1:]):
+        while at < len(starts) and starts[at][0] == day:
+            heapq.heappush(heap, (-starts[at][1], starts[at][2]))
+            at += 1
+        while heap and heap[0][1] <= day:
+            heapq.heappop(heap)
+        if heap:
+            owner = -heap[0][0]
+            if out and out[-1][1:] == (day, owner):
+                out[-1] = (out[-1][0], following, owner)
+            else:
+                out.append((day, following, owner))
+    return out
+
+
 class PublishedMart:
     """A mart replaced slice by slice.
 
     Each publication writes the rows of its slice to its own folder. A day belongs to the last
     publication whose slice covers it, so an empty candidate clears its slice, days that vanished
-    from the source disappear, and nothing outside the slice is rewritten.
+    from the source disappear, and nothing outside the slice is rewritten. The log, one record for each publication, is
+    resolved to disjoint intervals with one owner each; a reader opens the folders of the owners it needs and no others.
     """
 
     def __init__(self, spark: SparkSession, root: str, cols: Sequence[str] = MART_COLS,
@@ -176,23 +120,43 @@ class PublishedMart:
         self.cols, self.key, self.date = list(cols), list(key), date
         self.log = _Log(spark, f"{root}/log", PUBLICATION_LOG)
 
-    def _owner(self, data: DataFrame) -> DataFrame:
-        """The owning publication of every day of the data: one row per calendar day at most.
-
-        Slices are cut to the days that the data have, so an open end adds nothing.
+    def intervals(self, start=None, end=None) -> list[tuple[dt.date, dt.date, int]]:
+        """(from, to, publication) of the whole mart, or of a slice."""
+        records = self.log.read().select("publication_id", "slice_start", "slice_end").collect()  # one for each publication
+        found = owned_intervals(tuple(r) for r in records)
+        if start is None and end is None:
+            return found
+        lo, hi = slice_bounds(start, end)
+        return [(max(a, lo), min(b, hi), pid) for a, b, pid in found if a < hi and b > lo]
+
+    def _folder(self, pid: int) -> str:
+        return f"{self.root}/data/publication_id={pid}"
+
+    def rows(self, start=None, end=None) -> DataFrame:
+        """Published rows, of a slice if one is named; none, with the mart's columns, before the first publication."""
+        owned = self.intervals(start, end)
+        if not owned:
+            if self.schema:
+                return values(self.spark, [], self.schema)
+            found = stored(self.spark, f"{self.root}/data")
+            return found.drop("publication_id").where("false")
+        owners = sorted({pid for _, _, pid in owned})
+        data = self.spark.read.option("mergeSchema", False).option("basePath", f"{self.root}/data").parquet(*map(self._folder, owners))
+        # fewer than two intervals for each publication
+        own = F.broadcast(self.spark.createDataFrame(owned, "_from date, _to date, _owner bigint"))
+        on = (F.col("publication_id") == F.col("_owner")) & (F.col(self.date) >= F.col("_from")) & (F.col(self.date) < F.col("_to"))
+        return data.join(own, on, "left_semi").drop("publication_id")
+
+    def drop_superseded(self) -> list[int]:
+        """Deletes the folders of publications that own no day any more; returns their ids. The log stays whole.
+
+        For a moment without readers: one that began earlier may still want them.
         """
-        span = data.agg(F.min(self.date).alias("lo"), F.max(self.date).alias("hi"))
-        log = with_scalar(self.log.read(), span)
-        first, last = F.greatest("slice_start", "lo"), F.least(F.date_sub("slice_end", 1), F.col("hi"))
-        log = log.where(first <= last).select("publication_id", F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias(self.date))
-        return log.groupBy(self.date).agg(F.max("publication_id").alias("publication_id"))
-
-    def rows(self) -> DataFrame:
-        """Published rows; none, with the mart's columns, before the first publication."""
-        if self.schema and self.log.read().isEmpty():
-            return values(self.spark, [], self.schema)
-        data = self.spark.read.option("mergeSchema", False).parquet(f"{self.root}/data")
-        return data.join(self._owner(data), ["publication_id", self.date], "left_semi").drop("publication_id")
+        logged = {r[0] for r in self.log.read().select("publication_id").collect()}
+        gone = sorted(logged - {pid for _, _, pid in self.intervals()})
+        for pid in gone:
+            remove_folder(self._folder(pid))
+        return gone
 
     def view(self) -> DataFrame:
         """What consumers read: the rows with the time of the last successful publication."""
@@ -202,21 +166,13 @@ class PublishedMart:
     def last_publication(self) -> DataFrame:
         return self.log.read().orderBy(F.col("publication_id").desc()).limit(1)
 
-    def _check(self, staged: DataFrame, lo: dt.date, hi: dt.date, run_id: str) -> None:
-        params = staged.select("slice_start", "slice_end", "run_id").distinct().limit(2).collect()
-        found = [tuple(r) for r in params]
-        if found and found != [(lo, hi, run_id)]:
-            raise PublicationRefused(f"candidate was built for {found}, not for {(lo, hi, run_id)}")
-        outside = staged.where((F.col(self.date) < F.lit(lo)) | (F.col(self.date) >= F.lit(hi))
-                               | F.col(self.date).isNull())
-        if not outside.isEmpty():
-            raise PublicationRefused("candidate holds rows outside its slice")
-        if not unique_combination(staged, self.key).isEmpty():
-            raise PublicationRefused(f"candidate repeats the key {self.key}")
-
     def publish(self, candidate: DataFrame, start, end, run_id: str, scenario: str = "",
                 report: DataFrame | None = None) -> dict:
-        """Replace the slice by the candidate, or refuse and leave everything as it was."""
+        """Replace the slice by the candidate, or refuse and leave everything as it was.
+
+        The candidate is read once, by the write into its folder, which also counts what would refuse it; only the unique key is looked at
+        in what was written. Nobody reads the folder before its log record is there; a refused one is taken away.
+        """
         lo, hi = slice_bounds(start, end)
         if report is not None:
             failed = gate(report)
@@ -224,23 +180,34 @@ class PublishedMart:
                 raise PublicationRefused(f"failed rules: {', '.join(failed)}")
         pid = self.log.next_id("publication_id")
         now = dt.datetime.now(dt.timezone.utc)
-        stage = f"{self.root}/candidates/{uuid.uuid4().hex}"
-        candidate.write.mode("overwrite").parquet(stage)
-        staged = self.spark.read.schema(candidate.schema).parquet(stage)
-        self._check(staged, lo, hi, run_id)
+        day = F.col(self.date)
+        other = ~(F.col("slice_start").eqNullSafe(F.lit(lo)) & F.col("slice_end").eqNullSafe(F.lit(hi)) & F.col("run_id").eqNullSafe(F.lit(run_id)))
+        marked = candidate.withColumns({"_outside": ~holds((day >= F.lit(lo)) & (day < F.lit(hi))), "_other": other})
         money = {c: F.col(c).cast("decimal(12,4)") for c in ("xg", "goals_minus_xg") if c in self.cols}
-        out = staged.select(*self.cols).withColumns({
+        out = marked.select(*self.cols, "_outside", "_other").withColumns({
             **money, "published_run_id": F.lit(run_id), "published_at": F.lit(now).cast("timestamp")})
-        folder = f"{self.root}/data/publication_id={pid}"
-        out.write.mode("overwrite").option("compression", "snappy").parquet(folder)
-        written = self.spark.read.schema(out.schema).parquet(folder)
-        m = written.agg(F.count(F.lit(1)).alias("rows"), digest(self.cols).alias("checksum")).first()
+        folder = self._folder(pid)
+
+        def write(rows: DataFrame) -> None:
+            rows.drop("_outside", "_other").write.mode("overwrite").option("compression", "snappy").parquet(folder)
+
+        m = write_observed(out, write, {"rows": F.count(F.lit(1)), "checksum": digest(self.cols), "outside": count_where(F.col("_outside")), "other": count_where(F.col("_other"))})
+        why = None
+        if m["other"]:
+            why = f"{m['other']} rows of the candidate were not built for {(lo, hi, run_id)}"
+        elif m["outside"]:
+            why = f"{m['outside']} rows of the candidate lie outside its slice"
+        elif not unique_combination(self.spark.read.schema(candidate.select(*self.cols).schema).parquet(folder).select(*self.key), self.key).isEmpty():
+            why = f"candidate repeats the key {self.key}"
+        if why:
+            remove_folder(folder)
+            raise PublicationRefused(why)
         self.log.append((pid, run_id, scenario, lo, hi, m["rows"], m["checksum"], now))
         return {"publication_id": pid, "rows": m["rows"], "checksum": m["checksum"]}
 
     def slice_checksum(self, start, end) -> DataFrame:
         """Rows and digest of a published slice; ``'empty'`` without rows."""
-        rows = date_slice(self.rows(), self.date, start, end)
+        rows = self.rows(start, end)
         return rows.agg(F.count(F.lit(1)).alias("rows"), digest(self.cols).alias("checksum"))
 
 
