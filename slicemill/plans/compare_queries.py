@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from slicemill.functions.aggregates import count_where
@@ -15,6 +16,8 @@ from slicemill.plans.registry import query, table
 from slicemill.plans.standins import (
     EXACT_ORDERS_SQL, FACT_SQL, NARROW, WIDE, exact_orders, fact, fact_slice, orders, web_events,
 )
+from slicemill.session import work_path
+from slicemill.sinks import hashtree
 
 # B is A with prices raised for pending urgent orders, January 1995 missing and March 1996 repeated.
 B_SQL = f"""{EXACT_ORDERS_SQL},
@@ -53,6 +56,35 @@ def multiset_diff(spark, sf_dir):
     return compare.multiset_diff(*two_states(spark, sf_dir)).select("o_orderkey", "price", "extra")
 
 
+FEW_SQL = f"""{EXACT_ORDERS_SQL},
+k AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM eo WHERE o_orderstatus = 'P'),
+few AS (SELECT eo.* REPLACE (CASE WHEN n BETWEEN 2 AND 8 THEN CAST(price + 1 AS DECIMAL(12,2)) ELSE price END AS price)
+        FROM eo LEFT JOIN k USING (o_orderkey) WHERE n IS DISTINCT FROM 1
+        UNION ALL SELECT eo.* FROM eo JOIN k USING (o_orderkey) WHERE n = 10)"""
+
+
+@query("tree_diff", "C-14 C-15 C-17 AGG-16", f"""WITH {FEW_SQL}, d AS (
+  SELECT 1 AS s, * FROM (SELECT * FROM eo EXCEPT ALL SELECT * FROM few)
+  UNION ALL SELECT -1, * FROM (SELECT * FROM few EXCEPT ALL SELECT * FROM eo))
+SELECT o_orderkey, CAST(price AS DOUBLE) AS price, CAST(sum(s) AS BIGINT) AS extra, true AS read_few FROM d
+GROUP BY o_orderkey, o_custkey, o_orderstatus, price, day, o_orderpriority""")
+def tree_diff(spark, sf_dir):
+    """Two stored copies of the orders of which nine keys differ: one is gone, seven are changed, one is repeated."""
+    a = exact_orders(spark, sf_dir)
+    first = a.where("o_orderstatus = 'P'").orderBy("o_orderkey").limit(10).select("o_orderkey")  # a small set of keys to change
+    place = first.select("o_orderkey", F.row_number().over(Window.orderBy("o_orderkey")).alias("n"))
+    marked = a.join(F.broadcast(place), "o_orderkey", "left").where(~F.col("n").eqNullSafe(F.lit(1)))
+    price = F.when(F.col("n").between(2, 8), (F.col("price") + 1).cast("decimal(12,2)")).otherwise(F.col("price"))
+    times = F.when(F.col("n") == 10, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    b = marked.withColumn("price", price).withColumn("_copy", F.explode(times)).select(*a.columns)
+    paths = [work_path(spark, f"tree-{n}") for n in "ab"]
+    total = sum(hashtree.write_with_tree(df, path, ["o_orderkey"])["rows"] for df, path in zip((a, b), paths))
+    odd = hashtree.differing_leaves(spark, *paths)
+    read = sum(hashtree.leaf_rows(spark, path, odd).count() for path in paths)
+    out = hashtree.tree_diff(spark, *paths).select("o_orderkey", "price", "extra")
+    return out.withColumn("read_few", F.lit(20 * read < total))
+
+
 @query("sym_diff", "SET-02 C-14", f"""WITH {B_SQL}
 SELECT 'only_in_A' AS side, o_orderkey, CAST(price AS DOUBLE) AS price FROM (SELECT * FROM eo EXCEPT SELECT * FROM b)
 UNION ALL SELECT 'only_in_B', o_orderkey, CAST(price AS DOUBLE) FROM (SELECT * FROM b EXCEPT SELECT * FROM eo)""")

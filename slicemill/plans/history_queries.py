@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from slicemill.functions.columns import json_value, payload_hash, row_text, surrogate_key
-from slicemill.operators import history
+from slicemill.operators import history, sweep
 from slicemill.operators.relations import explode_keep, with_scalar
 from slicemill.plans.registry import query, table
 from slicemill.plans.standins import orders
 from slicemill.session import work_path
+from slicemill.sinks.dimension import ScdDimension
 
 LINE_ORDER = ["l_shipdate desc", "l_partkey desc", "l_suppkey desc", "l_extendedprice desc", "l_quantity desc",
               "l_discount desc", "l_tax desc"]
@@ -100,6 +101,45 @@ def scd2_by_year(spark, sf_dir):
     return versions(spark, sf_dir, F.year("day").cast("string"))
 
 
+# late first, then the newest, then what lies between
+DELIVERIES = ("day < DATE '1994-01-01'", "day >= DATE '1997-01-01'", "day >= DATE '1994-01-01' AND day < DATE '1997-01-01'")
+
+
+def delivered(spark, sf_dir, order):
+    """A stored customer dimension after deliveries of the orders in some order of their days."""
+    dim = ScdDimension(spark, work_path(spark, "scd2"), ["o_custkey"], "attr", "day")
+    obs = orders(spark, sf_dir).withColumn("attr", F.col("o_orderpriority"))
+    done = None
+    for number in order:
+        done = dim.deliver(obs.where(DELIVERIES[number]))
+    return dim, done
+
+
+@query("scd2_incremental", "C-08 C-09 JOI-09", f"WITH {versions_sql('o_orderpriority')} {SELECT_VERSIONS}")
+def scd2_incremental(spark, sf_dir):
+    """Three deliveries, the second of them newer than the third, one of them twice: what a build from all orders gives."""
+    return delivered(spark, sf_dir, (1, 0, 2, 0))[0].read()
+
+
+@query("scd2_changed_facts", "C-08 C-09 JOI-04", f"""WITH {versions_sql('o_orderpriority')},
+part AS (SELECT * FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1994-01-01' OR CAST(o_orderdate AS DATE) >= DATE '1997-01-01'),
+v0 AS (SELECT o_custkey, o_orderpriority AS attr, min(CAST(o_orderdate AS DATE)) AS valid_from,
+              max(CAST(o_orderdate AS DATE)) AS last_observed_on FROM part GROUP BY o_custkey, o_orderpriority),
+was AS (SELECT v0.*, coalesce((SELECT min(o.valid_from) FROM v0 o WHERE o.o_custkey = v0.o_custkey AND o.valid_from > v0.last_observed_on),
+               DATE '9999-12-31') AS valid_to FROM v0),
+touched AS (SELECT DISTINCT o_custkey FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1994-01-01' AND CAST(o_orderdate AS DATE) < DATE '1997-01-01'),
+f AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders JOIN touched USING (o_custkey)),
+a AS (SELECT o_orderkey, x.attr, x.valid_from FROM f LEFT JOIN versions x ON x.o_custkey = f.o_custkey AND day >= x.valid_from AND day < x.valid_to),
+b AS (SELECT o_orderkey, x.attr, x.valid_from FROM f LEFT JOIN was x ON x.o_custkey = f.o_custkey AND day >= x.valid_from AND day < x.valid_to)
+SELECT o_orderkey, attr, CAST(valid_from AS VARCHAR) AS valid_from, extra FROM (
+  SELECT *, CAST(1 AS BIGINT) AS extra FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+  UNION ALL SELECT *, CAST(-1 AS BIGINT) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))""")
+def scd2_changed_facts(spark, sf_dir):
+    """Orders whose valid versions changed with the last delivery: those lost and those gained."""
+    dim, last = delivered(spark, sf_dir, (0, 1, 2))
+    return dim.changed_facts(last, orders(spark, sf_dir), ["o_orderkey"], "day", ["attr", "valid_from"])
+
+
 @query("next_version_start", "JOI-09", f"""WITH {versions_sql('o_orderpriority')}
 SELECT o_custkey, CAST(last_observed_on AS VARCHAR) AS last_seen,
        CAST(min(CASE WHEN valid_to < DATE '9999-12-31' THEN valid_to END) AS VARCHAR) AS next_start
@@ -111,15 +151,24 @@ def next_version_start(spark, sf_dir):
     return seen.select("o_custkey", "last_seen").distinct().join(nxt, ["o_custkey", "last_seen"])
 
 
-@query("scd2_overlaps", "JOI-05 C-13", f"""WITH {versions_sql('o_orderpriority')}
+OVERLAPS_SQL = f"""WITH {versions_sql('o_orderpriority')}
 SELECT a.o_custkey, a.attr AS attr_a, CAST(a.valid_from AS VARCHAR) AS valid_from_a, CAST(a.valid_to AS VARCHAR) AS valid_to_a,
        b.attr AS attr_b, CAST(b.valid_from AS VARCHAR) AS valid_from_b, CAST(b.valid_to AS VARCHAR) AS valid_to_b
 FROM versions a JOIN versions b ON a.o_custkey = b.o_custkey AND a.attr < b.attr
- AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to""")
+ AND a.valid_from < b.valid_to AND b.valid_from < a.valid_to"""
+
+
+@query("scd2_overlaps", "JOI-05 C-13", OVERLAPS_SQL)
 def scd2_overlaps(spark, sf_dir):
     return history.overlapping_versions(dimension(spark, sf_dir, F.col("o_orderpriority")), ["o_custkey"], "attr")
 
 
+@query("sweep_overlaps", "JOI-05 C-13", OVERLAPS_SQL)
+def sweep_overlaps(spark, sf_dir):
+    """The overlaps of ``scd2_overlaps`` by a sweep line."""
+    return sweep.sweep_overlaps(dimension(spark, sf_dir, F.col("o_orderpriority")), ["o_custkey"], "attr")
+
+
 @query("asof_join_counts", "JOI-04", f"""WITH {versions_sql('o_orderpriority')}
 SELECT o_orderkey, count(versions.attr) AS valid_versions, min(versions.attr) AS first_attr
 FROM orders LEFT JOIN versions ON versions.o_custkey = orders.o_custkey
@@ -130,16 +179,29 @@ def asof_join_counts(spark, sf_dir):
     return joined.groupBy("o_orderkey").agg(F.count("attr").alias("valid_versions"), F.min("attr").alias("first_attr"))
 
 
-@query("asof_join_rows", "JOI-04", f"""WITH {versions_sql('CAST(year(o_orderdate) AS VARCHAR)')}
+ASOF_ROWS_SQL = f"""WITH {versions_sql('CAST(year(o_orderdate) AS VARCHAR)')}
 SELECT e.event_id, v.attr FROM events e LEFT JOIN versions v ON v.o_custkey = e.user_id
  AND CAST(e.ts AS DATE) - 8400 + CAST(e.event_id % 3000 AS INTEGER) >= v.valid_from
- AND CAST(e.ts AS DATE) - 8400 + CAST(e.event_id % 3000 AS INTEGER) < v.valid_to""")
-def asof_join_rows(spark, sf_dir):
+ AND CAST(e.ts AS DATE) - 8400 + CAST(e.event_id % 3000 AS INTEGER) < v.valid_to"""
+
+
+def moved_events(spark, sf_dir):
     """Events of known and unknown customers, moved into the years of the versions and before."""
     day = F.date_add(F.date_sub(F.to_date("ts"), 8400), (F.col("event_id") % 3000).cast("int"))
-    ev = table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), day.alias("day"))
+    return table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), day.alias("day"))
+
+
+@query("asof_join_rows", "JOI-04", ASOF_ROWS_SQL)
+def asof_join_rows(spark, sf_dir):
+    dim = dimension(spark, sf_dir, F.year("day").cast("string"))
+    return history.join_valid_at(moved_events(spark, sf_dir), dim, ["o_custkey"], "day", ["attr"]).select("event_id", "attr")
+
+
+@query("sweep_join_rows", "JOI-04", ASOF_ROWS_SQL)
+def sweep_join_rows(spark, sf_dir):
+    """The rows of ``asof_join_rows`` by a sweep line."""
     dim = dimension(spark, sf_dir, F.year("day").cast("string"))
-    return history.join_valid_at(ev, dim, ["o_custkey"], "day", ["attr"]).select("event_id", "attr")
+    return sweep.sweep_join(moved_events(spark, sf_dir), dim, ["o_custkey"], "day", ["attr"]).select("event_id", "attr")
 
 
 @query("versions_per_event", "C-13 AGG-08", f"""WITH {versions_sql('o_orderpriority')}

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicemill.functions.columns import out_of_range, stamp
 from slicemill.operators import quality
@@ -20,9 +22,9 @@ from slicemill.plans.standins import (
     EXACT_ORDERS_SQL, FACT_SQL, FIRST_YEAR, LAST_YEAR, LOWEST, NARROW, WIDE, exact_orders, fact, fact_slice, orders,
 )
 from slicemill.session import work_path
-from slicemill.sinks import datasets
+from slicemill.sinks import datasets, observed
 from slicemill.sinks.versioned import (
-    EvidenceStore, PublishedMart, SnapshotTable, create_table_as, new_snapshots, snapshot_history,
+    PUBLICATION_LOG, EvidenceStore, PublishedMart, create_table_as,
 )
 from slicemill.sources.files import read_typed_csv, sql_on_path
 
@@ -36,12 +38,10 @@ DAY_COLS = ["source_system", "team_id", "match_date", "shots", "shots_on_target"
 @query("partitioned_roundtrip", "SNK-01 SNK-03 SRC-02", f"""WITH {EXACT_ORDERS_SQL}
 SELECT o_orderkey, o_orderpriority, o_orderstatus, CAST(price AS DOUBLE) AS price, CAST(day AS VARCHAR) AS day FROM eo""")
 def partitioned_roundtrip(spark, sf_dir):
-    """Written by status, read back with the saved schema, guarded by counts and types."""
+    """Written by status, read back with the saved schema, guarded by types, counts and a digest observed while writing."""
     o = exact_orders(spark, sf_dir)
     path = work_path(spark, "by-status")
-    datasets.write_partitioned(o, path, "o_orderstatus")
-    back = datasets.read_like(spark, path, o.schema)
-    datasets.assert_roundtrip(o, back)
+    back = observed.checked_roundtrip(o, lambda rows: datasets.write_partitioned(rows, path, "o_orderstatus"), lambda: datasets.read_like(spark, path, o.schema))
     return back.select("o_orderkey", "o_orderpriority", "o_orderstatus", "price", "day")
 
 
@@ -166,32 +166,34 @@ def batch_split_totals(spark, sf_dir):
     return datasets.batch_metrics(exact_orders(spark, sf_dir), "day", BOUNDARY)
 
 
-def two_batch_table(spark, sf_dir, transform):
+def two_batch_table(spark, sf_dir, by=None):
     """Replace with the first batch, append the second, twice over: a rerun must not add rows."""
     o = exact_orders(spark, sf_dir)
     datasets.check_batches(o, "day", BOUNDARY)
-    first, second = datasets.split_batches(o, "day", BOUNDARY)
-    t = SnapshotTable(spark, work_path(spark, "snapshots"), transform)
-    for _ in range(2):
-        t.create_or_replace(first)
-        t.append(second)
-    return t
+    parts = datasets.split_batches(o, "day", BOUNDARY)
+    path = work_path(spark, "snapshots")
+    for number in range(4):
+        observed.add_snapshot(parts[number % 2], path, number + 1, ("overwrite", "append")[number % 2], ["o_orderkey"], by)
+    return observed.stored(spark, path)
+
 
+def by_month():
+    return {"month": F.trunc("day", "MM")}
 
-@query("snapshot_log", "SNK-04 SNK-05 SNK-07 Q-20 SCA-05", f"""WITH {EXACT_ORDERS_SQL},
+
+@query("snapshot_log", "SNK-04 SNK-05 SCA-05", f"""WITH {EXACT_ORDERS_SQL},
 n AS (SELECT count(*) FILTER (WHERE day < DATE '{BOUNDARY}') AS f, count(*) AS a FROM eo)
 SELECT CAST(i AS BIGINT) AS snapshot_id, CASE WHEN i % 2 = 1 THEN 'overwrite' ELSE 'append' END AS operation,
        CAST(CASE WHEN i % 2 = 1 THEN f ELSE a END AS BIGINT) AS total_records FROM n, generate_series(1, 4) AS g(i)""")
 def snapshot_log(spark, sf_dir):
-    return snapshot_history(two_batch_table(spark, sf_dir, ("months", "day"))).select(
-        "snapshot_id", "operation", "total_records")
+    return observed.snapshot_totals(two_batch_table(spark, sf_dir, by_month())).select("snapshot_id", "operation", "total_records")
 
 
 @query("snapshot_rows", "SNK-04 SNK-05 C-03", f"""WITH {EXACT_ORDERS_SQL}
 SELECT o_orderstatus, count(*) AS rows, count(DISTINCT o_orderkey) AS keys, CAST(sum(price) AS DOUBLE) AS price FROM eo GROUP BY o_orderstatus""")
 def snapshot_rows(spark, sf_dir):
     """Rows and keys of the table after a repeated two-batch load."""
-    return two_batch_table(spark, sf_dir, None).read().groupBy("o_orderstatus").agg(
+    return observed.current_rows(two_batch_table(spark, sf_dir)).groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("o_orderkey").alias("keys"), F.sum("price").alias("price"))
 
 
@@ -199,22 +201,35 @@ def snapshot_rows(spark, sf_dir):
 SELECT o_orderkey, CAST(day AS VARCHAR) AS day FROM eo WHERE day >= DATE '1997-12-20' AND day < DATE '1998-02-03'""")
 def snapshot_slice(spark, sf_dir):
     """A slice across both batches, pruned by the derived month."""
-    t = two_batch_table(spark, sf_dir, ("months", "day"))
-    return t.between("1997-12-20", "1998-02-03").select("o_orderkey", "day")
+    rows = observed.current_rows(two_batch_table(spark, sf_dir, by_month()))
+    lo, hi = dt.date(1997, 12, 20), dt.date(1998, 2, 3)
+    return rows.where(F.col("month").between(lo.replace(day=1), hi) & (F.col("day") >= F.lit(lo)) & (F.col("day") < F.lit(hi))).select("o_orderkey", "day")
 
 
-@query("new_snapshots", "SNK-07", "SELECT CAST(2 AS BIGINT) AS snapshot_id, count(*) AS total_records FROM orders")
+@query("new_snapshots", "SNK-05", "SELECT CAST(2 AS BIGINT) AS snapshot_id, count(*) AS total_records FROM orders")
 def added_snapshots(spark, sf_dir):
     """The snapshot that an append added."""
     first, second = datasets.split_batches(exact_orders(spark, sf_dir), "day", BOUNDARY)
-    t = SnapshotTable(spark, work_path(spark, "added"), ("months", "day"))
-    t.create_or_replace(first)
-    before = snapshot_history(t).collect()
-    t.append(second)
-    ids = [r["snapshot_id"] for r in before]
-    history = snapshot_history(t)
-    return new_snapshots(history.where(F.col("snapshot_id").isin(ids)), history).join(history, "snapshot_id").select(
-        "snapshot_id", "total_records")
+    path, before = work_path(spark, "added"), work_path(spark, "before")
+    observed.add_snapshot(first, path, 1, "overwrite", ["o_orderkey"])
+    observed.snapshot_totals(observed.stored(spark, path)).write.parquet(before)
+    observed.add_snapshot(second, path, 2, "append", ["o_orderkey"])
+    history = observed.snapshot_totals(observed.stored(spark, path))
+    return observed.new_snapshots(spark.read.parquet(before), history).join(history, "snapshot_id").select("snapshot_id", "total_records")
+
+
+@query("refused_append", "SNK-05 C-18", """
+SELECT o_orderstatus, count(*) AS rows, 2::BIGINT AS refused FROM orders GROUP BY o_orderstatus""")
+def refused_append(spark, sf_dir):
+    """A batch that repeats keys and one without keys are refused and leave no rows behind."""
+    first, second = datasets.split_batches(exact_orders(spark, sf_dir), "day", BOUNDARY)
+    path, refused = work_path(spark, "appended"), 0
+    for number, batch in enumerate((first, first, second.withColumn("o_orderkey", F.lit(None).cast("bigint")), second), 1):
+        try:
+            observed.add_snapshot(batch, path, number, key=["o_orderkey"])
+        except observed.AppendRefused:
+            refused += 1
+    return observed.stored(spark, path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("rows"), F.lit(refused).alias("refused"))
 
 
 @query("catalog_table", "SNK-04 SNK-17 SNK-21 SRC-04", f"""WITH {EXACT_ORDERS_SQL}
@@ -284,6 +299,37 @@ def publish_slice_result(spark, sf_dir):
                                                   "published_run_id")
 
 
+PUBLICATIONS_SQL = """
+p AS (
+  SELECT row_number() OVER (ORDER BY epoch(l_shipdate)::BIGINT // 86400 % 97, l_shipdate) AS pid, CAST(l_shipdate AS DATE) AS s, n
+  FROM (SELECT l_shipdate, count(*) AS n FROM lineitem GROUP BY l_shipdate)),
+x AS (SELECT pid, s, CASE WHEN pid = 1000 THEN DATE '9999-12-31' ELSE s + CAST(1 + n % 40 AS INTEGER) END AS e FROM p)"""
+
+
+def many_publications(spark, sf_dir):
+    """A log of a publication for each ship date, in a mixed order, of up to 40 days, and one with an open end."""
+    days = table(spark, sf_dir, "lineitem").groupBy(F.to_date("l_shipdate").alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    pid = F.row_number().over(Window.orderBy(F.pmod(F.unix_date("s"), F.lit(97)), "s"))  # one row for each day
+    end = F.when(F.col("pid") == 1000, F.lit(dt.date(9999, 12, 31))).otherwise(F.date_add("s", (1 + F.col("n") % 40).cast("int")))
+    log = days.withColumn("pid", pid).select(F.col("pid").cast("bigint").alias("publication_id"), F.lit("r").alias("run_id"), F.lit("s").alias("scenario"), F.col("s").alias("slice_start"),
+                                             end.alias("slice_end"), F.col("n").alias("rows_published"), F.lit("x").alias("checksum"), F.current_timestamp().alias("published_at"))
+    root = work_path(spark, "many")
+    log.to(T.StructType.fromDDL(PUBLICATION_LOG)).write.parquet(f"{root}/log")
+    return PublishedMart(spark, root, DAY_COLS, MART_KEY)
+
+
+@query("publication_intervals", "SNK-08 SNK-10 C-12", f"""WITH {PUBLICATIONS_SQL},
+b AS (SELECT s AS d FROM x UNION SELECT e FROM x),
+i AS (SELECT d, lead(d) OVER (ORDER BY d) AS f FROM b),
+o AS (SELECT d, f, max(pid) AS pid FROM i JOIN x ON s <= d AND e >= f GROUP BY d, f),
+g AS (SELECT *, CASE WHEN lag(f) OVER (ORDER BY d) = d AND lag(pid) OVER (ORDER BY d) = pid THEN 0 ELSE 1 END AS fresh FROM o),
+h AS (SELECT *, sum(fresh) OVER (ORDER BY d) AS run FROM g)
+SELECT CAST(min(d) AS VARCHAR) AS slice_from, CAST(max(f) AS VARCHAR) AS slice_to, pid AS publication_id FROM h GROUP BY run, pid""")
+def publication_intervals(spark, sf_dir):
+    """Some 2 500 publications resolved to the intervals that each still owns."""
+    return spark.createDataFrame(many_publications(spark, sf_dir).intervals(), "slice_from date, slice_to date, publication_id bigint")
+
+
 @query("publication_log", "SNK-09 Q-16", f"""WITH {FACT_SQL}, d AS (
   SELECT DISTINCT team_id, match_date FROM fact WHERE source_system = 'main' AND NOT is_shootout)
 SELECT CAST(1 AS BIGINT) AS publication_id, 'r1' AS run_id, 'baseline' AS scenario, false AS empty,
