@@ -92,3 +92,8 @@ def encoder(path: str | None = None, kind: str = "I") -> ByteEncoder:
     if (path, kind) not in _encoders:
         _encoders[path, kind] = ByteEncoder(path, kind)
     return _encoders[path, kind]
+
+
+def forget() -> None:
+    """Frees what the worker's encoders remember, where a later stage does not encode."""
+    _encoders.clear()

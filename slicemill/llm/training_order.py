@@ -5,8 +5,8 @@ cut into sequences of ``LENGTH`` ids, and the last one of a block is filled up w
 files alone, so the same files and key give the same order on any cluster. Texts are encoded once: a task stores the
 packed sequences of its blocks, and of a block that two tasks share the loose parts, which are then put together. The
 sizes of the blocks give every sequence a dense index. The permutation is a balanced Feistel network over the next even
-power of two; results outside the range are walked on until they fall inside. Tasks get ranges of slots by their
-number, without a sample, and write them as shards of fixed stride: each under a name of that attempt, then moved to its place,
+power of two; results outside the range are walked on until they fall inside. Sequences travel packed by destination. Tasks get
+ranges of slots by their number, without a sample, and write them as shards of fixed stride: each under a name of that attempt, then moved to its place,
 so a lost executor or a repeated task leaves whole files only. A manifest is written last; without it nothing is
 read. A reader finds slot s at byte ``stride * (s % records)`` of shard ``s // records``.
 
@@ -26,7 +26,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
@@ -34,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from slicemill.llm.bytepairs import encoder
+from slicemill.llm.bytepairs import encoder, forget
 from slicemill.llm.common import shuffle_partitions, slices, written
 
 LENGTH, END, RECORDS = 1024, 50256, 4096
 ROWS = 512        # of a block
-SHARDS = 16       # that one task writes, at most
+SHARDS = 8        # that one task writes, at most; it holds them in memory
+CHUNK = 4 << 20   # bytes of ids that are packed together, but for a longer document
+HOLD = 4          # chunks that a task holds before it packs their sequences by destination
 ROUNDS = 6
 BROADCAST_BLOCKS = 400_000
 
@@ -82,10 +83,10 @@ def stored_rows(stored: DataFrame) -> DataFrame:
 
 
 class Stream:
-    """Cuts the ids of successive documents into sequences; ``made`` are those that are full: place, ids, documents."""
+    """Cuts the ids of successive documents into sequences; ``made`` are the ids and documents of those that are full."""
 
     def __init__(self, width: int, at: int = 0):
-        self.width, self.at, self.made = width, at, []
+        self.width, self.at, self.made = width, at, []  # at: place of the first in made
         self.held, self.docs, self.room = [], [], width
 
     def add(self, ids: bytes, docs: list) -> None:
@@ -101,49 +102,67 @@ class Stream:
 
     def close(self) -> None:
         if self.held:
-            self.made.append((self.at, b"".join(self.held), self.docs))
-            self.at += 1
+            self.made.append((b"".join(self.held), self.docs))
         self.held, self.docs, self.room = [], [], self.width
 
+    def open(self) -> tuple[bytes, list]:
+        return b"".join(self.held), self.docs
 
-ENCODED = "file string, block long, at long, row long, n_tokens long, ids binary, doc_ids array<long>"
 
+ENCODED = "file string, block long, at long, row long, size long, ids binary, docs array<array<long>>"
 
-class Batch:
-    """Rows of ENCODED on their way out; ``row`` is set for loose parts only."""
+
+class Chunks:
+    """Rows of ENCODED: successive sequences of a block, packed together; ``row`` is set for loose parts only."""
 
     def __init__(self):
-        self.codec, self.rows, self.size = pa.Codec("zstd"), [], 0
+        self.codec, self.rows, self.held = codec(), [], 0
+
+    def put(self, key: tuple, at: int | None, row: int | None, parts: list[tuple[bytes, list]]) -> None:
+        ids = b"".join([p[0] for p in parts])
+        self.rows.append((*key, at, row, len(ids), self.codec.compress(ids, asbytes=True), [p[1] for p in parts]))
+        self.held += len(self.rows[-1][5])
 
-    def put(self, file: str, block: int, at: int | None, row: int | None, ids: bytes, docs: list) -> None:
-        self.rows.append((file, block, at, row, len(ids) // 2, self.codec.compress(ids, asbytes=True), docs))
-        self.size += len(ids)
+    def flush(self, key: tuple, stream: Stream, least: int = 0) -> None:
+        """The full sequences of the stream, if there are at least ``least`` bytes of them."""
+        if stream.made and len(stream.made) * stream.width >= least:
+            self.put(key, stream.at, None, stream.made)
+            stream.at += len(stream.made)
+            stream.made = []
 
     def take(self) -> pa.RecordBatch:
-        columns, self.rows, self.size = list(zip(*self.rows)), [], 0
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        columns, self.rows, self.held = list(zip(*self.rows)), [], 0
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in ENCODED.split(", ")])
 
 
-def encoded(rows: DataFrame, length: int, end: int, rows_each: int, vocabulary: str | None) -> DataFrame:
+def codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
+def unpacked(pack: pa.Codec, ids: bytes, size: int) -> bytes:
+    return pack.decompress(ids, size, asbytes=True) if size else b""
+
+
+def encoded(rows: DataFrame, length: int, end: int, rows_each: int, vocabulary: str | None, chunk: int) -> DataFrame:
     """Full sequences of the blocks, and the loose parts of blocks that a task has not seen whole."""
     width = 2 * length
     filler = np.array([end], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, out = encoder(vocabulary, "H"), Batch()
+        code, out = encoder(vocabulary, "H"), Chunks()
         now = stream = last = first = None  # stream: of a block seen from its start
 
         def leave():
             """The block ends here, for this task at least."""
             if stream is None:
                 return
-            if last % rows_each < rows_each - 1:  # others may count on, from here
-                out.put(*now, stream.at, first, b"".join(stream.held), stream.docs)
-                return
-            stream.close()
-            for at, ids, docs in stream.made:
-                out.put(*now, at, None, ids, docs)
+            whole = last % rows_each == rows_each - 1
+            if whole:
+                stream.close()
+            out.flush(now, stream)
+            if not whole:  # others may count on, from here
+                out.put(now, stream.at, first, [stream.open()])
 
         for batch in batches:
             for some in slices(batch):
@@ -154,13 +173,11 @@ def encoded(rows: DataFrame, length: int, end: int, rows_each: int, vocabulary:
                         stream = Stream(width) if row % rows_each == 0 else None
                     ids, last = code(text) + filler, row
                     if stream is None:
-                        out.put(*now, None, row, ids, [doc_id])
+                        out.put(now, None, row, [(ids, [doc_id])])
                     else:
                         stream.add(ids, [doc_id])
-                        for at, full, docs in stream.made:
-                            out.put(*now, at, None, full, docs)
-                        stream.made.clear()
-                    if out.size > 8 << 20:
+                        out.flush(now, stream, chunk)
+                    if out.held > 2 * chunk:
                         yield out.take()
         leave()
         if out.rows:
@@ -169,30 +186,28 @@ def encoded(rows: DataFrame, length: int, end: int, rows_each: int, vocabulary:
     return rows.mapInArrow(run, ENCODED)
 
 
-def mended(parts: DataFrame, length: int) -> DataFrame:
+def mended(parts: DataFrame, length: int, chunk: int) -> DataFrame:
     """The sequences that the loose parts of each block make; a part that counts on from full sequences comes first."""
     width = 2 * length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, now, stream = Batch(), None, None
+        out, now, stream = Chunks(), None, None
+
+        def leave():
+            if stream:
+                stream.close()
+                out.flush(now, stream)
+
         for batch in batches:
-            for file, block, at, n, ids, docs in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "at", "n_tokens", "ids", "doc_ids"))):
+            for file, block, at, size, ids, docs in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "at", "size", "ids", "docs"))):
                 if (file, block) != now:
-                    if stream:
-                        stream.close()
-                        for made in stream.made:
-                            out.put(*now, made[0], None, *made[1:])
+                    leave()
                     now, stream = (file, block), Stream(width, at or 0)
-                stream.add(out.codec.decompress(ids, 2 * n, asbytes=True) if n else b"", docs)
-                for made in stream.made:
-                    out.put(*now, made[0], None, *made[1:])
-                stream.made.clear()
-                if out.size > 8 << 20:
+                stream.add(unpacked(out.codec, ids, size), docs[0])
+                out.flush(now, stream, chunk)
+                if out.held > 2 * chunk:
                     yield out.take()
-        if stream:
-            stream.close()
-            for made in stream.made:
-                out.put(*now, made[0], None, *made[1:])
+        leave()
         if out.rows:
             yield out.take()
 
@@ -201,8 +216,8 @@ def mended(parts: DataFrame, length: int) -> DataFrame:
 
 
 def indexed(sequences: DataFrame) -> tuple[DataFrame, int]:
-    """The sequences with their dense index, by file, block and place, and their number."""
-    blocks = written(sequences.groupBy("file", "block").agg((F.max("at") + 1).alias("n")), "blocks")
+    """The chunks with the dense index of their first sequence, by file, block and place, and the number of sequences."""
+    blocks = written(sequences.groupBy("file", "block").agg(F.max(F.col("at") + F.size("docs")).alias("n")), "blocks")
     files, total = [], 0
     for r in sorted(blocks.groupBy("file").agg(F.sum("n").alias("n"), F.count("*").alias("blocks")).collect()):
         files.append((r.file, total, r.blocks))
@@ -215,60 +230,88 @@ def indexed(sequences: DataFrame) -> tuple[DataFrame, int]:
     return sequences.join(few, ["file", "block"]).withColumn("index", F.col("base") + F.col("at")), total
 
 
+DEALT = "task int, size long, ids binary, slots array<long>, lengths array<long>, docs array<array<long>>"
+
+
+def dealt(chunks: DataFrame, order: Permutation, length: int, records_each: int, hold: int) -> DataFrame:
+    """The sequences of each task, those of one destination packed together."""
+    width = 2 * length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        pack, held, size = codec(), {}, 0
+
+        def take():
+            rows = []
+            for task, own in held.items():
+                slots, parts, docs = zip(*own)
+                ids = b"".join(parts)
+                rows.append((task, len(ids), pack.compress(ids, asbytes=True), list(slots), [len(x) // 2 for x in parts], list(docs)))
+            held.clear()
+            types = [pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [f.split()[0] for f in DEALT.split(", ")])
+
+        for batch in batches:
+            for n, ids, docs, index in zip(*(batch.column(c).to_pylist() for c in ("size", "ids", "docs", "index"))):
+                raw = unpacked(pack, ids, n)
+                for j, slot in enumerate(order(np.arange(index, index + len(docs), dtype=np.uint64)).tolist()):
+                    held.setdefault(slot // records_each, []).append((slot, raw[j * width:(j + 1) * width], docs[j]))
+                size += n
+                if size > hold:
+                    yield take()
+                    size = 0
+        if held:
+            yield take()
+
+    return chunks.select("size", "ids", "docs", "index").mapInArrow(run, DEALT)
+
+
 def writer(target: str, total: int, length: int, records: int, end: int):
-    """What writes the sorted sequences of whole shards and tells what it has written."""
-    filler, stride = np.array([end], "<u2").tobytes(), 2 * length
+    """What writes the shards of one task and tells what it has written. The task's sequences are sorted in memory."""
+    filler = np.array([end], "<u2").tobytes()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         system, folder = fs.FileSystem.from_uri(target)
-        codec = pa.Codec("zstd")
-        shard, stream, name, expected = None, None, None, 0
-
-        def finish():
-            stream.close()
-            size = min(records, total - shard * records)
-            if expected != shard * records + size:
-                raise RuntimeError(f"shard {shard} has {expected - shard * records} of {size} records")
-            system.move(name, f"{folder}/shard-{shard:08d}.bin")
-
+        pack, blobs, mine = codec(), [], []
         for batch in batches:
-            for some in slices(batch):
-                slots, marks = some.column("slot").to_pylist(), []
-                for slot, n, ids in zip(slots, some.column("n_tokens").to_pylist(), some.column("ids").to_pylist()):
-                    if slot // records != shard:
-                        if stream:
-                            finish()
-                        shard = slot // records
-                        name = f"{folder}/.attempt-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}"
-                        stream, expected = system.open_output_stream(name, compression=None), shard * records
-                    if slot != expected:
-                        raise RuntimeError(f"slot {slot} where {expected} was expected")
-                    expected += 1
-                    record = codec.decompress(ids, 2 * n, asbytes=True) + filler * (length - n)
+            for size, ids, slots, lengths, docs in zip(*(batch.column(c).to_pylist() for c in ("size", "ids", "slots", "lengths", "docs"))):
+                at = 0
+                for slot, n, own in zip(slots, lengths, docs):
+                    mine.append((slot, len(blobs), at, n, own))
+                    at += 2 * n
+                blobs.append(unpacked(pack, ids, size))
+        mine.sort()
+        for shard in sorted({m[0] // records for m in mine}):
+            own = [m for m in mine if m[0] // records == shard]
+            if [m[0] for m in own] != list(range(shard * records, min((shard + 1) * records, total))):
+                raise RuntimeError(f"shard {shard} does not hold each of its records once")
+            name, marks = f"{folder}/.attempt-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}", []
+            with system.open_output_stream(name, compression=None) as stream:
+                for _, blob, at, n, _ in own:
+                    record = blobs[blob][at:at + 2 * n] + filler * (length - n)
                     stream.write(record)
-                    marks.append((slot // records, zlib.crc32(record)))
-                columns = list(zip(*marks)) or [()] * 2
-                yield pa.RecordBatch.from_arrays([some.column("slot"), pa.array(columns[0], pa.int64()), some.column("n_tokens"), some.column("doc_ids"), pa.array(columns[1], pa.int64())],
-                                                 ["slot", "shard", "n_tokens", "doc_ids", "ids_crc32"])
-        if stream:
-            finish()
+                    marks.append(zlib.crc32(record))
+            system.move(name, f"{folder}/shard-{shard:08d}.bin")
+            slots, _, _, lengths, docs = zip(*own)
+            yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([shard] * len(own), pa.int64()), pa.array(lengths, pa.int64()), pa.array(docs, pa.list_(pa.int64())), pa.array(marks, pa.int64())],
+                                             ["slot", "shard", "n_tokens", "doc_ids", "ids_crc32"])
 
     return write
 
 
-def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH, records: int = RECORDS, end: int = END, vocabulary: str | None = None, rows_each: int = ROWS) -> DataFrame:
+def materialise(stored: DataFrame, target: str, key: int, length: int = LENGTH, records: int = RECORDS, end: int = END, vocabulary: str | None = None, rows_each: int = ROWS,
+                chunk: int = CHUNK) -> DataFrame:
     """Writes the shards and, last, the manifest below ``target``, a folder that all executors reach. The result, stored as
     well, has one row for each sequence: slot, shard, n_tokens, doc_ids (those it holds ids of), ids_crc32 (of the record)."""
     spark = stored.sparkSession
-    found = written(encoded(stored_rows(stored), length, end, rows_each, vocabulary), "encoded")
-    loose = written(mended(found.where("row is not null"), length), "mended")
+    found = written(encoded(stored_rows(stored), length, end, rows_each, vocabulary, chunk), "encoded")
+    loose = written(mended(found.where("row is not null"), length, chunk), "mended")
     sequences, total = indexed(found.where("row is null").unionByName(loose))
     order = Permutation(max(1, total), key)
-    slot = F.pandas_udf(lambda index: pd.Series(order(index.to_numpy(np.uint64))), "long")
     shards = -(-total // records)
     each = max(1, min(SHARDS, shards // shuffle_partitions(spark)))
-    made = sequences.select(slot("index").alias("slot"), "n_tokens", "ids", "doc_ids")
-    made = made.repartitionById(max(1, -(-shards // each)), F.floor(F.col("slot") / (records * each)).cast("int")).sortWithinPartitions("slot")
+    made = dealt(sequences, order, length, records * each, HOLD * chunk).repartitionById(max(1, -(-shards // each)), F.col("task"))
     system, folder = fs.FileSystem.from_uri(target)
     system.create_dir(folder, recursive=True)
     report = written(made.mapInArrow(writer(target, total, length, records, end), "slot long, shard long, n_tokens long, doc_ids array<long>, ids_crc32 long"), "order")

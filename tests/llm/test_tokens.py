@@ -151,7 +151,7 @@ def test_shards(spark, stored, rows_each, split):
     spark.conf.set("spark.sql.files.maxPartitionBytes", split)
     try:
         target = work_path(spark, "shards")
-        rows = {r.slot: r for r in training_order.materialise(stored, target, key=3, length=64, records=50, rows_each=rows_each).collect()}
+        rows = {r.slot: r for r in training_order.materialise(stored, target, key=3, length=64, records=50, rows_each=rows_each, chunk=300).collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     want = stream_of(stored, 64, rows_each)
