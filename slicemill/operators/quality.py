@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -155,7 +156,7 @@ def run_rules(ctx: Mapping[str, DataFrame], rules: Sequence[RowRule | QueryRule]
     """Report (rule, severity, status, failures), one row per rule, evaluated as a single job.
 
     All row rules of a relation become counters of one aggregate, and all rules on groups of a table
-    one grouping by (rule, group), so a relation is read once for each kind however many rules there
+    one grouping by grouping sets, so a relation is read once for each kind however many rules there
     are; the other rules are counted where they run.
     """
     by_relation: dict[str, list[RowRule]] = {}
@@ -184,20 +185,25 @@ def run_rules(ctx: Mapping[str, DataFrame], rules: Sequence[RowRule | QueryRule]
 
 
 def group_failures(rules: Sequence[GroupRule]) -> DataFrame:
-    """(rule, severity, failures) of rules on one table, in one scan and one shuffle of their keys."""
-    def key(rule: GroupRule) -> Column:
-        group = F.to_json(F.struct(*[F.col(c) for c in rule.cols]), {"ignoreNullFields": "false"})
-        return F.when(rule.asked, F.struct(F.lit(rule.name).alias("rule"), group.alias("key")))
+    """(rule, severity, failures) of rules on one table, in one scan and one shuffle of their typed keys.
 
-    entries = rules[0].table.select(F.explode(F.array_compact(F.array(*[key(r) for r in rules]))).alias("e"))
-    sizes = entries.groupBy("e.rule", "e.key").agg(F.count(F.lit(1)).alias("n"))
-    bad = F.lit(False)
-    for r in rules:
-        bad = F.when(F.col("rule") == r.name, F.col("n") > r.most).otherwise(bad)
-    counted = sizes.where(bad).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
-    names = F.inline(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity")) for r in rules]))
-    listed = rules[0].table.sparkSession.range(1).select(names)
-    return listed.join(counted, "rule", "left").select("rule", "severity", F.coalesce("n", F.lit(0)).alias("failures"))
+    Each set of columns is a grouping set of one grouping; rules of the same columns share theirs. What a rule does
+    not ask for is not counted in its groups.
+    """
+    table = rules[0].table
+    cols = list(dict.fromkeys(c for r in rules for c in r.cols))
+    sets = list(dict.fromkeys(tuple(c for c in cols if c in r.cols) for r in rules))
+    marked = table.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(cols)], *[holds(r.asked).alias(f"_a{i}") for i, r in enumerate(rules)])
+    # a row that no rule asks for is not spread over the sets
+    marked = marked.where(reduce(lambda x, y: x | y, [F.col(f"_a{i}") for i in range(len(rules))]))
+    names = {c: f"_g{i}" for i, c in enumerate(cols)}
+    sizes = marked.groupingSets([[F.col(names[c]) for c in s] for s in sets], *[F.col(n) for n in names.values()])
+    sizes = sizes.agg(F.grouping_id().alias("_set"), *[F.count_if(F.col(f"_a{i}")).alias(f"_n{i}") for i in range(len(rules))])
+    # the grouping id has a bit for each column that a set leaves out, the first column highest
+    ids = {s: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets}
+    own = [ids[tuple(c for c in cols if c in r.cols)] for r in rules]
+    counted = sizes.agg(*[F.count_if((F.col("_set") == own[i]) & (F.col(f"_n{i}") > r.most)).alias(f"_f{i}") for i, r in enumerate(rules)])
+    return counted.select(F.inline(F.array(*[F.struct(F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.col(f"_f{i}").alias("failures")) for i, r in enumerate(rules)])))
 
 
 def gate(report: DataFrame) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -16,6 +16,7 @@ from slicemill.operators.history import calendar, dim_team, observations
 from slicemill.operators.marts import MART_KEY, in_play, mart_team_day
 from slicemill.session import work_path
 from slicemill.sinks.datasets import store_failures
+from slicemill.sinks.observed import remove_folder
 from slicemill.sinks.versioned import PublicationRefused, PublishedMart
 from slicemill.sources import files
 from slicemill.sources.inline import values
@@ -108,7 +109,7 @@ def rules(ctx: Mapping[str, DataFrame], start, end) -> list[q.RowRule | q.QueryR
 
 @dataclass
 class Run:
-    """Relations, rule report and publication of one run."""
+    """Relations, rule report and publication of one run, and the folder of its layers below the root."""
     layers: dict[str, DataFrame]
     rules: list
     report: DataFrame
@@ -116,13 +117,15 @@ class Run:
     published: dict | None
     actions: DataFrame
     violations: dict[str, str]
+    folder: str
 
 
 class Warehouse:
     """Folders of a warehouse under one root."""
 
-    def __init__(self, spark: SparkSession, root: str, input_dir: str):
-        self.spark, self.root, self.input_dir = spark, root.rstrip("/"), input_dir.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, input_dir: str, fingerprints: str = "bytes"):
+        """``fingerprints``: how raw files are told apart, see ``file_fingerprints``; ``lines`` for files over 2 GB."""
+        self.spark, self.root, self.input_dir, self.fingerprints = spark, root.rstrip("/"), input_dir.rstrip("/"), fingerprints
         self.mart = PublishedMart(spark, f"{self.root}/publish")
 
     # raw layer
@@ -168,7 +171,7 @@ class Warehouse:
         issued, version = self._issued()
         known = issued.where("live").drop("live")
         listed = [f"{self.input_dir}/{r['file_path']}" for r in manifest.select("file_path").distinct().collect()]
-        found = files.file_fingerprints(self.spark, listed).select(
+        found = files.file_fingerprints(self.spark, listed, self.fingerprints).select(
             self._relative().alias("file_path"), F.col("sha256").alias("file_sha256"), "row_count")
         plan_path = work_path(self.spark, "batch-plan")
         files.plan_batches(manifest, known, found).write.parquet(plan_path)
@@ -199,6 +202,17 @@ class Warehouse:
         rows = rows.join(batches.select("batch_id"), "batch_id", "left_semi")
         return {"batches": batches, **{e: rows.where(F.col("entity") == e).drop("entity") for e in files.ENTITIES}}
 
+    def drop_superseded(self, runs: Sequence[str] = ()) -> dict[str, list]:
+        """Deletes what no reader of the newest state asks for: rows of dropped batches, publications without a day left, and
+        the layers of the runs named. Returns what went; for a moment in which no run is under way."""
+        gone = [r["batch_id"] for r in self._issued()[0].where("not live").select("batch_id").distinct().collect()]  # as many as files ever listed
+        for batch in gone:
+            for entity in files.ENTITIES:
+                remove_folder(f"{self.root}/raw/rows/entity={entity}/batch_id={batch}")
+        for run in runs:
+            remove_folder(f"{self.root}/{run}")
+        return {"batches": sorted(gone), "publications": self.mart.drop_superseded(), "runs": list(runs)}
+
     # layers
 
     def _kept(self, name: str, df: DataFrame, run: str) -> DataFrame:
@@ -207,9 +221,9 @@ class Warehouse:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def build(self, start, end, run_id: str) -> dict[str, DataFrame]:
-        """All relations of a run; staging stays a view, later layers are tables."""
-        run = f"runs/{work_path(self.spark, 'run')[-32:]}"
+    def build(self, start, end, run_id: str, run: str | None = None) -> dict[str, DataFrame]:
+        """All relations of a run; staging stays a view, later layers are tables in the folder ``run``."""
+        run = run or f"runs/{work_path(self.spark, 'run')[-32:]}"
         ctx: dict[str, DataFrame] = dict(self.raw())
         ctx |= staging(ctx)
         ctx |= {n: self._kept(n, df, run) for n, df in current_state(ctx).items()}
@@ -223,7 +237,8 @@ class Warehouse:
         """Load, build, test and publish the slice; failed rules leave the published mart as it was."""
         lo, hi = slice_bounds(start, end)
         actions = self.load_raw(scenario, run_id)
-        ctx = self.build(lo, hi, run_id)
+        folder = f"runs/{work_path(self.spark, 'run')[-32:]}"
+        ctx = self.build(lo, hi, run_id, folder)
         tests = rules(ctx, lo, hi)
         path = f"{self.root}/audit/report-{work_path(self.spark, 'r')[-32:]}"
         q.run_rules(ctx, tests).write.parquet(path)
@@ -235,4 +250,4 @@ class Warehouse:
             done = self.mart.publish(ctx["mart"], lo, hi, run_id, scenario, report)
         except PublicationRefused:
             done = None
-        return Run(ctx, tests, report, failed, done, actions, kept)
+        return Run(ctx, tests, report, failed, done, actions, kept, folder)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from slicemill.functions.aggregates import count_where, distinct_keys, null_share
 from slicemill.functions.columns import in_range, in_set, is_blank, out_of_range
-from slicemill.operators import quality
+from slicemill.operators import contract, quality
 from slicemill.operators.history import mark_duplicates
 from slicemill.operators.marts import team_day
 from slicemill.operators.relations import (
@@ -75,6 +75,75 @@ def contract_metrics(spark, sf_dir):
     return quality.contract_metrics(table(spark, sf_dir, "events"), ["event_id"], bad)
 
 
+# events as rows of the event contract, with what breaks each of its rules here and there
+EVENTS_21 = {
+    "event_id": "'e' || CAST(event_id AS STRING)", "user_id": "CAST(user_id AS INT)",
+    "session_id": "CASE WHEN event_id % 1000 = 7 THEN ' ' ELSE 's' || CAST(user_id % 100 AS STRING) END", "event_ts": "CAST(ts AS TIMESTAMP)",
+    "event_date": "CASE WHEN event_id % 700 = 0 THEN CAST(ts AS DATE) + INTERVAL '1' DAY ELSE CAST(ts AS DATE) END",
+    "event_type": "CASE event_type WHEN 'view' THEN 'page_view' WHEN 'signup' THEN 'search' ELSE event_type END",
+    "platform": "CASE WHEN user_id % 3 = 0 THEN 'web' ELSE 'app' END", "device_type": "CASE WHEN user_id % 2 = 0 THEN 'phone' ELSE 'desktop' END",
+    "os_version": "'os' || CAST(user_id % 5 AS STRING)", "app_version": "CASE WHEN event_id % 333 <> 5 THEN '1.' || CAST(user_id % 9 AS STRING) END",
+    "region": "'r' || CAST(user_id % 8 AS STRING)", "city": "'c' || CAST(user_id % 40 AS STRING)", "referrer": "CASE WHEN event_id % 500 = 3 THEN NULL ELSE 'direct' END",
+    "category_id": "CAST(event_id % 12 AS INT)", "category_name": "CASE WHEN event_id % 12 = 11 AND event_id % 5 = 0 THEN '' ELSE 'cat' END",
+    "price_rub": "CASE WHEN event_type = 'purchase' AND event_id % 90 <> 0 THEN CAST(value AS DECIMAL(12,2)) WHEN event_id % 800 = 1 THEN CAST(0 AS DECIMAL(12,2)) END",
+    "quantity": "CASE WHEN event_type = 'purchase' THEN CAST(1 + event_id % 5 AS INT) WHEN event_id % 800 = 1 THEN 1 END",
+    "currency": "CASE WHEN event_id % 600 = 2 THEN 'USD' ELSE 'RUB' END",
+    "payment_method": "CASE WHEN event_type = 'purchase' THEN CASE event_id % 6 WHEN 0 THEN 'card' WHEN 1 THEN 'sbp' WHEN 2 THEN 'wallet' WHEN 3 THEN 'cash_on_delivery' WHEN 4 THEN 'installment' ELSE 'cheque' END END",
+    "duration_ms": "CASE WHEN event_id % 450 <> 9 THEN CAST(100 + event_id % 1000 AS INT) END", "ab_group": "CASE WHEN event_id % 2 = 0 THEN 'A' ELSE 'B' END"}
+WINDOW = (dt.date(2024, 1, 3), dt.date(2024, 1, 29))
+
+
+def contract_sql() -> tuple[str, list[str]]:
+    """The masks' rules as one boolean column each, and their names in order."""
+    money = ["price_rub", "quantity", "payment_method"]
+    text = [c for c in EVENTS_21 if c not in (*money, "user_id", "event_ts", "event_date", "category_id", "duration_ms")]
+    rules = {f"missing_{c}": f"{c} IS NULL" + (f" OR trim({c}) = ''" if c in text else "") for c in EVENTS_21 if c not in money}
+    types, methods = (", ".join(f"'{x}'" for x in xs) for xs in (contract.EVENT_TYPES, contract.PAYMENT_METHODS))
+    pays = "event_type IN ('purchase', 'refund')"
+    rules |= {"unknown_event_type": f"event_type NOT IN ({types})", "other_day_than_time": "event_date <> CAST(event_ts AS DATE)",
+              "outside_window": f"event_date < DATE '{WINDOW[0]}' OR event_date >= DATE '{WINDOW[1]}'", "foreign_currency": "currency <> 'RUB'",
+              "bad_price": f"{pays} AND (price_rub IS NULL OR price_rub <= 0)", "bad_quantity": f"{pays} AND (quantity IS NULL OR quantity NOT BETWEEN 1 AND 4)",
+              "bad_payment_method": f"{pays} AND (payment_method IS NULL OR payment_method NOT IN ({methods}))"}
+    rules |= {f"unexpected_{c}": f"NOT {pays} AND {c} IS NOT NULL" for c in money}
+    cols = ", ".join(f"{x} AS {c}" for c, x in EVENTS_21.items())
+    listed = ", ".join(f"CASE WHEN {x} THEN '{n}' END" for n, x in rules.items())
+    return f"""WITH ev AS (SELECT {cols} FROM events), k AS (SELECT list_filter([{listed}], lambda x: x IS NOT NULL) AS l FROM ev),
+r AS MATERIALIZED (SELECT l, count(*) AS n FROM k GROUP BY l)""", list(rules)
+
+
+CONTRACT_SQL, CONTRACT_NAMES = contract_sql()
+
+
+def events_21(spark, sf_dir):
+    return table(spark, sf_dir, "events").selectExpr(*[f"{x} AS {c}" for c, x in EVENTS_21.items()])
+
+
+@query("event_contract", "C-02 AGG-04 AGG-15", CONTRACT_SQL + f"""
+SELECT rule, coalesce(sum(n) FILTER (WHERE list_contains(l, rule)), 0)::BIGINT AS failures, coalesce(sum(n) FILTER (WHERE l[1] = rule), 0)::BIGINT AS first_reason
+FROM (SELECT unnest([{", ".join(f"'{n}'" for n in CONTRACT_NAMES)}]) AS rule), r GROUP BY rule""")
+def event_contract(spark, sf_dir):
+    """All rules of the event contract over 21 columns, counted from one number per row."""
+    rules = contract.event_rules(*WINDOW)
+    return contract.rule_counts(contract.mask_counts(events_21(spark, sf_dir), rules), rules)
+
+
+@query("event_contract_pairs", "C-02 AGG-15", CONTRACT_SQL + """,
+x AS (SELECT l, n, unnest(l) AS rule_a, generate_subscripts(l, 1) AS i FROM r), y AS (SELECT rule_a, i, n, unnest(l) AS rule_b, generate_subscripts(l, 1) AS j FROM x)
+SELECT rule_a, rule_b, sum(n)::BIGINT AS rows FROM y WHERE i < j GROUP BY rule_a, rule_b""")
+def event_contract_pairs(spark, sf_dir):
+    """Rules that are broken together."""
+    rules = contract.event_rules(*WINDOW)
+    return contract.pair_counts(contract.mask_counts(events_21(spark, sf_dir), rules), rules)
+
+
+@query("event_contract_split", "C-01 C-02 AGG-15", CONTRACT_SQL + " SELECT array_to_string(l, ',') AS reasons, n AS rows FROM r")
+def event_contract_split(spark, sf_dir):
+    """Accepted rows and the combinations of reasons of the others."""
+    good, bad = contract.split_by_mask(events_21(spark, sf_dir), contract.event_rules(*WINDOW))
+    every = bad.select(F.array_join("reasons", ",").alias("reasons")).unionByName(good.select(F.lit("").alias("reasons")))
+    return every.groupBy("reasons").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("predicate_counts", "FLT-02 FLT-03 AGG-03", """
 SELECT CAST(count(*) FILTER (WHERE text IS NULL OR trim(text) = '') AS BIGINT) AS blank,
        CAST(count(*) FILTER (WHERE n_chars BETWEEN 100 AND 1000) AS BIGINT) AS in_range,

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slicemill.functions.columns import out_of_range, stamp
-from slicemill.operators import quality
+from slicemill.operators import quality, sketches
 from slicemill.operators.compare import tables_equal, verify_copy
 from slicemill.operators.marts import MART_KEY, team_day
-from slicemill.operators.relations import cached, distinct_rows
+from slicemill.operators.relations import cached, distinct_rows, with_scalar
 from slicemill.plans.compare_queries import COLS, digest_sql
 from slicemill.plans.mart_queries import MEASURES_SQL, team_day_sql
 from slicemill.plans.quality_queries import KEY, SPLIT_SQL, line_rules
@@ -124,6 +124,89 @@ def clustered_roundtrip(spark, sf_dir):
     return tables_equal(f, spark.read.parquet(path))
 
 
+@query("zorder_rows_met", "SNK-15", """
+SELECT layout, col, rows, better FROM (SELECT count(*) AS rows FROM lineitem), (VALUES
+  ('lexicographic', 'match_date', true), ('lexicographic', 'player_id', false), ('zorder', 'match_date', true), ('zorder', 'player_id', true)) AS t(layout, col, better)""")
+def zorder_rows_met(spark, sf_dir):
+    """Rows in files that a narrow condition on the leading and on the last column cannot skip: sorted by the columns in turn, and in
+    Z-order. ``better``: less than 60 % of all rows."""
+    f = fact(spark, sf_dir)
+    cols = ["match_date", "player_id"]
+    span = f.agg(F.percentile_approx("player_id", 0.3).alias("p"), F.min("match_date").alias("d")).first()
+    asked = {"match_date": (span["d"], span["d"] + dt.timedelta(days=90)), "player_id": (span["p"], span["p"])}
+    parts = []
+    for name, write in (("lexicographic", datasets.write_clustered), ("zorder", datasets.write_zorder)):
+        path = work_path(spark, name)
+        with_small_files(spark, lambda: write(f, path, cols))
+        for col in cols:
+            met = datasets.files_met(spark.read.parquet(path), col, *asked[col])
+            parts.append(met.select(F.lit(name).alias("layout"), F.lit(col).alias("col"), "rows", (F.col("rows_met") < 0.6 * F.col("rows")).alias("better")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def with_small_files(spark, write):
+    """Runs ``write`` without gathering small partitions, so that a small table has files to skip as a large one has."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        write()
+    finally:
+        spark.conf.set(name, old)
+
+
+@query("sketch_slices", "SNK-14 C-23", f"""WITH {FACT_SQL}, y AS (SELECT *, greatest(year(match_date), {FIRST_YEAR - 1}) AS y FROM fact)
+SELECT s.slice, count(*) AS rows, CAST(min(match_date) AS VARCHAR) AS first_day, CAST(max(match_date) AS VARCHAR) AS last_day, true AS close
+FROM y JOIN (VALUES ('all', 0, 9999), ('late', 1997, 1998), ('one', 1996, 1996)) AS s(slice, lo, hi) ON y BETWEEN lo AND hi GROUP BY s.slice""")
+def sketch_slices(spark, sf_dir):
+    """Slices answered from stored partition statistics; ``close``: distinct players, matches and the median are within 3 % of the rows'."""
+    rows = datasets.with_bucket(fact(spark, sf_dir), "match_date", FIRST_YEAR)
+    path = work_path(spark, "sketches")
+    sketches.sketch_stats(rows, [datasets.BUCKET], ["player_id", "match_id"], ["player_id"], "match_date").write.parquet(path)
+    stats, parts = spark.read.parquet(path), []
+    for name, lo, hi in (("all", 0, 9999), ("late", 1997, 1998), ("one", 1996, 1996)):
+        here = F.col(datasets.BUCKET).between(lo, hi)
+        est = sketches.estimates(sketches.merged_stats(stats.where(here)))
+        n = rows.where(here).agg(F.count_distinct("player_id").alias("p"), F.count_distinct("match_id").alias("m"), F.avg((F.col("player_id") <= est.select("player_id_p50").scalar()).cast("int")).alias("at"))
+        near = (F.abs(F.col("distinct_player_id") - F.col("p")) <= 0.03 * F.col("p")) & (F.abs(F.col("distinct_match_id") - F.col("m")) <= 0.03 * F.col("m")) & (F.abs(F.col("at") - 0.5) <= 0.03)
+        parts.append(with_scalar(est, n).select(F.lit(name).alias("slice"), "rows", "first_day", "last_day", near.alias("close")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("lakehouse_run", "C-01 SRC-01 SNK-01 SNK-02 SNK-03 SNK-05 SNK-06 Q-01 C-18", f"""WITH {EXACT_ORDERS_SQL},
+t AS (SELECT *, CASE WHEN price > 350000 THEN 'price_out_of_range' WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'odd_state' END AS reason FROM eo),
+a AS (SELECT * FROM t WHERE reason IS NULL)
+SELECT 'batch_' || (1 + CAST(day >= DATE '{BOUNDARY}' AS INTEGER)) AS part, o_orderstatus AS name, count(*) AS rows, round(CAST(sum(price) AS DOUBLE), 2) AS price, true AS same FROM a GROUP BY 1, 2
+UNION ALL SELECT 'rejected', reason, count(*), round(CAST(sum(price) AS DOUBLE), 2), true FROM t WHERE reason IS NOT NULL GROUP BY reason""")
+def lakehouse_run(spark, sf_dir):
+    """The lakehouse job as one: typed CSV, split with accepted = raw - rejected, rejects and a partitioned table written and read
+    back, the accepted rows appended in two batches, and one query on CSV and table (``same``: equal results)."""
+    o = exact_orders(spark, sf_dir)
+    raw, root = work_path(spark, "raw-csv"), work_path(spark, "lake")
+    o.write.option("header", True).csv(raw)
+    rules = [("price_out_of_range", F.col("price") > 350000), ("odd_state", (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"))]
+    typed = read_typed_csv(spark, raw, o.schema)
+    accepted, rejected = quality.split_valid(typed, rules, ["o_orderkey"])
+    reasons = datasets.write_rejects(rejected, f"{root}/rejected")
+    kept = observed.checked_roundtrip(accepted, lambda rows: datasets.write_partitioned(rows, f"{root}/accepted", "o_orderstatus"),
+                                      lambda: datasets.read_like(spark, f"{root}/accepted", accepted.schema))
+    if typed.count() != kept.count() + reasons.agg(F.sum("count")).first()[0]:
+        raise ValueError("accepted and rejected rows do not add up")
+    datasets.check_batches(kept, "day", BOUNDARY)
+    for number, batch in enumerate(datasets.split_batches(kept, "day", BOUNDARY), 1):
+        observed.add_snapshot(batch, f"{root}/table", number, ("overwrite", "append")[number - 1], ["o_orderkey"], by_month())
+
+    def totals(rows, part, name):
+        return rows.groupBy(part.alias("part"), F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("price").cast("double"), 2).alias("price"))
+
+    batch = F.concat(F.lit("batch_"), 1 + (F.col("day") >= F.lit(BOUNDARY)).cast("int"))
+    by_csv = totals(accepted, batch, "o_orderstatus")
+    by_table = totals(observed.current_rows(observed.stored(spark, f"{root}/table")), F.concat(F.lit("batch_"), F.col("snapshot_id")), "o_orderstatus")
+    same = tables_equal(by_csv, by_table).select("equal").scalar()
+    refused = totals(spark.read.schema(rejected.schema).parquet(f"{root}/rejected"), F.lit("rejected"), "reject_reason")
+    return by_table.unionByName(refused).withColumn("same", same)
+
+
 @query("load_core", "SNK-16 PRJ-03", """
 SELECT l_orderkey AS match_id, l_suppkey AS team_id, CAST(count(*) FILTER (WHERE l_linenumber = 5) AS BIGINT) AS shootout,
        CAST(count(*) FILTER (WHERE l_returnflag = 'R') AS BIGINT) AS goals, CAST(sum(CAST(l_discount AS DECIMAL(12,10))) AS DOUBLE) AS xg,

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from slicemill.functions.aggregates import digest
 from slicemill.operators.compare import multiset_diff
+from slicemill.session import work_path
 from slicemill.sinks.observed import remove_folder, write_observed
 
 LEAVES, FANOUT = 256, 16
@@ -49,10 +50,15 @@ def levels(leaves: int, fanout: int) -> int:
     return max(1, math.ceil(round(math.log(leaves, fanout), 9)))
 
 
-def tree_of(leaf_rows: DataFrame, cols: Sequence[str], leaves: int, fanout: int) -> DataFrame:
-    """(level, node, rows, digest) of rows that carry their leaf. A parent's children are few: at most ``fanout``."""
-    own = leaf_rows.groupBy(F.col(LEAF).cast("bigint").alias("node")).agg(F.count(F.lit(1)).alias("rows"), digest(cols).alias("digest"))
-    out = level = own.select(F.lit(0).alias("level"), "node", "rows", "digest")
+def leaf_digests(rows: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(node, rows, digest) of rows that carry their leaf."""
+    return rows.groupBy(F.col(LEAF).cast("bigint").alias("node")).agg(F.count(F.lit(1)).alias("rows"), digest(cols).alias("digest"))
+
+
+def tree_of(own: DataFrame, leaves: int, fanout: int) -> DataFrame:
+    """(level, node, rows, digest) above and with stored leaves. A parent's children are few: at most ``fanout``."""
+    level = own.select(F.lit(0).alias("level"), "node", "rows", "digest")
+    out = level
     for number in range(1, levels(leaves, fanout) + 1):
         lines = F.array_sort(F.collect_list(F.concat_ws(":", F.lpad(F.col("node").cast("string"), 20, "0"), F.col("rows").cast("string"), "digest")))
         level = level.groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(F.sum("rows").alias("rows"), F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
@@ -64,7 +70,9 @@ def tree_of(leaf_rows: DataFrame, cols: Sequence[str], leaves: int, fanout: int)
 def _write_tree(spark: SparkSession, path: str, shape: str) -> None:
     about = json.loads(shape)
     cols = [f["name"] for f in about["fields"]]
-    tree = tree_of(_rows(spark, path, about), cols, about["leaves"], about["fanout"]).withColumn("shape", F.lit(None).cast("string"))
+    digests = work_path(spark, "leaves")
+    leaf_digests(_rows(spark, path, about), cols).coalesce(1).write.parquet(digests)  # the table is read once for all levels
+    tree = tree_of(spark.read.parquet(digests), about["leaves"], about["fanout"]).withColumn("shape", F.lit(None).cast("string"))
     # one row says how the tree is built, also for a table without rows
     own = spark.range(1).select(F.lit(-1).alias("level"), F.lit(0).cast("bigint").alias("node"), F.lit(0).cast("bigint").alias("rows"), F.lit("").alias("digest"), F.lit(shape).alias("shape"))
     tree.unionByName(own).coalesce(1).write.mode("overwrite").parquet(f"{path}/tree")  # about one row for each leaf
