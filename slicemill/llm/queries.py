@@ -44,19 +44,33 @@ def op3_line_templates(spark, sf_dir):
 ORACLE["op3_line_templates"] = r"""
 WITH raw AS (
   SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents),
-l AS (
-  SELECT doc_id, line_no, list_transform(string_split(trim(regexp_replace(line, '[\x09-\x0D\x20]+', ' ', 'g')), ' '),
-    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM raw),
-f AS (SELECT doc_id, line_no, t, len(t) AS n, array_to_string(t[1:3], ' ') AS lead FROM l WHERE len(t) >= 4),
-v AS (SELECT DISTINCT n, lead, t FROM f),
-m AS (SELECT n, lead, count(*) AS m FROM v GROUP BY n, lead HAVING count(*) > 1),
-x AS (SELECT v.n, v.lead, v.t, unnest(range(4, v.n + 1)) AS i, unnest(t[4:]) AS k FROM v JOIN m USING (n, lead)),
-b AS (SELECT n, lead, i, k FROM x JOIN m USING (n, lead) GROUP BY n, lead, i, k, m HAVING 2 * count(*) > m),
-fit AS (SELECT n, lead, t FROM x JOIN b USING (n, lead, i, k) GROUP BY n, lead, t HAVING count(*) >= 0.8::DOUBLE * (n - 3)),
-g AS (SELECT f.doc_id, f.line_no, CASE WHEN fit.t IS NOT NULL THEN struct_pack(n := f.n, lead := f.lead, whole := NULL) ELSE struct_pack(n := f.n, lead := f.lead, whole := array_to_string(f.t, ' ')) END AS g
-  FROM f LEFT JOIN fit ON f.n = fit.n AND f.lead = fit.lead AND f.t = fit.t),
+o AS (SELECT doc_id, line_no, string_split(trim(regexp_replace(line, '[\x09-\x0D\x20]+', ' ', 'g')), ' ') AS own FROM raw),
+l AS (SELECT doc_id, line_no, own, list_transform(own, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM o),
+f AS (
+  SELECT doc_id, line_no, t, len(t) AS n, array_to_string(t[1:3], ' ') AS lead, t[4:] AS tail,
+    CASE WHEN len(list_filter(t, lambda x: x <> '<*>')) = 0 THEN '<*>' || array_to_string(own, ' ') ELSE array_to_string(t, ' ') END AS whole
+  FROM l WHERE array_to_string(t, '') <> ''),
+v AS (SELECT DISTINCT n, lead, tail, whole FROM f WHERE n >= 8),
+m0 AS (SELECT n, lead, count(*) AS m FROM v GROUP BY n, lead HAVING count(*) > 1),
+x0 AS (SELECT v.*, m, unnest(range(1, v.n - 2)) AS i, unnest(tail) AS k FROM v JOIN m0 USING (n, lead)),
+b0 AS (SELECT n, lead, i, k FROM x0 GROUP BY n, lead, i, k, m HAVING 2 * count(*) > m),
+fit0 AS (SELECT n, lead, whole FROM x0 JOIN b0 USING (n, lead, i, k) GROUP BY n, lead, whole HAVING count(*) >= 0.8::DOUBLE * (n - 3)),
+e AS (
+  SELECT v.*, unnest(list_distinct(list_transform(range(6), lambda j: floor(j * (n - 4) / 6)::INTEGER))) AS p FROM v ANTI JOIN fit0 USING (n, lead, whole)),
+w AS (SELECT *, tail[p + 1:p + 2] AS pair FROM e),
+m AS (SELECT n, lead, p, pair, count(*) AS m FROM w GROUP BY n, lead, p, pair HAVING count(*) > 1),
+x AS (SELECT w.*, m, unnest(range(1, w.n - 2)) AS i, unnest(tail) AS k FROM w JOIN m USING (n, lead, p, pair)),
+b AS (SELECT n, lead, p, pair, i, k FROM x GROUP BY n, lead, p, pair, i, k, m HAVING 2 * count(*) > m),
+fit AS (
+  SELECT n, lead, p, pair, whole FROM x JOIN b USING (n, lead, p, pair, i, k)
+  GROUP BY n, lead, p, pair, whole HAVING count(*) >= 0.8::DOUBLE * (n - 3)
+  UNION ALL SELECT n, lead, -1, [], whole FROM fit0),
+g AS (
+  SELECT f.doc_id, f.line_no, CASE WHEN fit.whole IS NOT NULL THEN struct_pack(n := f.n, lead := f.lead, p := p, pair := pair, whole := NULL)
+    ELSE struct_pack(n := f.n, lead := f.lead, p := NULL, pair := NULL, whole := f.whole) END AS g
+  FROM f LEFT JOIN fit ON f.n = fit.n AND f.lead = fit.lead AND f.whole = fit.whole),
 r AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g HAVING count(DISTINCT doc_id) >= 2),
-gone AS (SELECT g.doc_id, g.line_no FROM g JOIN r ON g.g IS NOT DISTINCT FROM r.g WHERE g.doc_id <> r.first),
+gone AS (SELECT DISTINCT g.doc_id, g.line_no FROM g JOIN r ON g.g IS NOT DISTINCT FROM r.g WHERE g.doc_id <> r.first),
 kept AS (
   SELECT raw.doc_id, count(*) AS n_lines, count(gone.doc_id) AS n_dropped,
     coalesce(string_agg(line, chr(10) ORDER BY raw.line_no) FILTER (WHERE gone.doc_id IS NULL), '') AS text

@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 from slicemill.llm import line_templates as L
 
 BOILER = "Subscribe to our weekly letter for more stories like this one today"
@@ -26,6 +30,80 @@ def test_unlike_lines_in_one_leaf_stay(docs_of):
     assert run(docs_of(rows)) == dict(rows)
 
 
+def test_families_in_one_leaf(docs_of):
+    """Several families share length and leading tokens, each with a name of its own in every line."""
+    names = ["anna", "bert", "carl", "dora", "emil", "fritz"]
+    families = ["Posted by our editor {} in the morning news section today", "Posted by our readers {} in the evening talk show yesterday",
+                "Posted by our {} friends from the city council after lunch", "Posted by our guest writer {} who also lives near here"]
+    for count in (1, 2, 4):
+        docs = docs_of([(10 * k + i, family.format(name) + f"\nown words {name} {name}") for k, family in enumerate(families[:count]) for i, name in enumerate(names)])
+        out = run(docs)
+        assert [i for i, text in sorted(out.items()) if text.startswith("Posted")] == [10 * k for k in range(count)], count
+
+
+def test_many_unrelated_lines_hide_no_family(docs_of):
+    rnd = random.Random(1)
+    own = [(100 + i, "It is the " + " ".join(f"w{'abcdefghij'[rnd.randrange(10)]}{'klmnopqrst'[rnd.randrange(10)]}" for _ in range(9))) for i in range(60)]
+    family = [(i, f"It is the {'abcdef'[i]} view of the whole board that we stop") for i in range(6)]
+    out = run(docs_of(own + family))
+    assert [i for i, text in sorted(out.items()) if i < 100 and text] == [0]
+    assert all(out[i] == text for i, text in own)
+
+
+def test_short_lines(docs_of):
+    docs = [(i, f"All rights reserved.\n公司版权所有\n{i}\nChapter {i}\n7 7\n\nwords that only {'abcdef'[i]} has") for i in range(6)]
+    out = run(docs_of(docs))
+    assert out[0] == docs[0][1]
+    assert all(out[i] == f"{i}\n\nwords that only {'abcdef'[i]} has" for i in range(1, 6))
+
+
+def brute(docs):
+    """The rule by plain loops over tokens."""
+    every, templates = [], {}
+    for doc_id, text in docs:
+        for no, line in enumerate(text.split("\n")):
+            own = re.sub("[\\x09-\\x0D\\x20]+", " ", line).strip(" ").split(" ")
+            t = tuple("<*>" if re.search("[0-9]", x) else x for x in own)
+            if own != [""]:
+                every.append((doc_id, no, t, tuple(own) if set(t) == {"<*>"} else t))
+
+    def vote(lines, groups_of):
+        families = {}
+        for t in lines:
+            for group in groups_of(t):
+                families.setdefault(group, []).append(t)
+        for group, members in families.items():
+            shared = [Counter(t[i] for t in members).most_common(1)[0] for i in range(3, group[0])]
+            for t in members if len(members) > 1 else []:
+                if sum(2 * c > len(members) and x == y for x, (y, c) in zip(t[3:], shared)) >= 0.8 * len(t[3:]):
+                    templates.setdefault(t, []).append(group)
+
+    voters = {t for _, _, t, _ in every if len(t) >= 8}
+    vote(voters, lambda t: [(len(t), t[:3])])
+    vote(voters - set(templates), lambda t: [(len(t), t[:3], p, t[3 + p:5 + p]) for p in {j * (len(t) - 4) // L.BANDS for j in range(L.BANDS)}])
+    holders = {}
+    for doc_id, _, t, whole in every:
+        for g in templates.get(t, [whole]):
+            holders.setdefault(g, set()).add(doc_id)
+    gone = {(doc_id, no) for doc_id, no, t, whole in every for g in templates.get(t, [whole]) if doc_id != min(holders[g])}
+    return {doc_id: "\n".join(line for no, line in enumerate(text.split("\n")) if (doc_id, no) not in gone) for doc_id, text in docs}
+
+
+def test_against_plain_loops(docs_of):
+    rnd = random.Random(2)
+    docs = []
+    for i in range(150):
+        lines = []
+        for _ in range(rnd.randint(1, 5)):
+            base = rnd.choice(["the end of", "we say that", "Posted by our"]).split()
+            rest = rnd.choice([["alpha beta gamma delta epsilon zeta eta"], ["alpha beta kappa delta epsilon mu eta"], ["one two three four five"], ["x"], ["y 5 z"]])[0].split()
+            for _ in range(rnd.choice([0, 0, 1, 2])):
+                rest[rnd.randrange(len(rest))] = rnd.choice("pqrstuv") * rnd.randint(1, 3)
+            lines.append(rnd.choice([" ", "  "]).join(base + rest))
+        docs.append((i, "\n".join(lines + rnd.choice([[], [""], ["9"], ["9 8"], ["ok"]]))))
+    assert run(docs_of(docs)) == brute(docs)
+
+
 def test_awkward(awkward, docs_of, collected):
     out = L.dedup_lines(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()

@@ -8,6 +8,7 @@ import corpus_pipeline
 from slicemill.llm.common import written
 from slicemill.plans.registry import table
 from test_decontamination import brute as contaminated
+from test_line_templates import brute as dedup
 from test_ngram_join import brute as classes
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,7 +32,7 @@ def test_stages(spark):
     # a dozen toxic documents teach little; held-out accuracy on more is in test_toxicity
     assert len(left & toxic) <= 0.5 * len(toxic) and len(left & clean) >= 0.98 * len(clean)
     before, after = seen["line_dedup"]
-    assert before.count() == after.count()
+    assert sorted((r.doc_id, r.text) for r in after.collect()) == sorted(dedup([(r.doc_id, r.text) for r in before.collect()]).items())
     before, after = seen["ngram_join"]
     want = {r[1] for r in classes([(r.doc_id, r.text) for r in before.collect()])}
     assert {r.doc_id for r in after.collect()} == want
