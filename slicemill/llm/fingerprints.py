@@ -7,18 +7,20 @@ bin, cut to 16 bits, is the signature; a bin without phrases is marked as empty.
 equal bins among those that are not empty in both, an estimate of the Jaccard similarity of the phrase sets.
 
 ``compare_with_next`` also fingerprints each text with its last third replaced from the next document in descending
-order of doc_id (the first follows the last). Documents are dealt to ranges of ids; the first document of each range is
+order of doc_id (the first follows the last). Documents are dealt to ranges of ids, the rows of a hot id or of none to ranges of
+their texts' hashes as well; the first document of each range is
 also sent to the range before, so that the texts are shuffled once. A parse stops at the place of the edit, finishes the
 text, takes back what it learnt there and finishes the edited text, so a common part is parsed once.
 
 Defined cases: null is the empty text; its fingerprint is all empty bins, which is like itself (1) and unlike any other
 (0); a trailing phrase that is known already adds nothing; null ids come last in the order, rows with equal ids are ordered by the
-hash of their texts; a single document follows itself; empty tables give no rows; extra columns are not used.
+hash of their texts; very long texts are parsed whole, in one task each; a single document follows itself; empty tables give no rows; extra columns are not used.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,17 +140,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """range, guest, doc_id, th, text: ranges of ids in descending order, each closed by the first row of the next one.
+    """range, guest, doc_id, th, text: ranges of (id, hash) in descending order, each closed by the first row of the next one.
 
     The driver sees a few ids for each partition: the bounds of the ranges and their first rows.
     """
     spark = docs.sparkSession
     rows = keyed(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
     n = RANGES * shuffle_partitions(spark)
-    bounds = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 20 * n)).first()[0] if n > 1 else []
-    bounds = sorted(set(bounds or []))
-    at = F.size(F.filter(F.lit(bounds or [0]), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
-    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at))
+    found = rows.select(F.percentile_approx("doc_id", [i / n for i in range(1, max(2, n))], 20 * n), F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    bounds = found[0] or []
+    # an id that is a bound more than once holds more than one range's share of the rows; such rows, and those without an id, are
+    # split further by the hash of their text
+    hot = sorted(b for b, times in Counter(bounds).items() if times > 1)
+    parts = max([1, *(times for times in Counter(bounds).values()), -(-n * found[2] // max(1, found[1]))])
+    bounds = sorted({*bounds, *hot, *(h - 1 for h in hot)})
+    at = F.size(F.filter(F.lit(bounds), lambda b: b < F.col("doc_id"))) if bounds else F.lit(0)
+    at = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(at)
+    part = F.least(F.lit(parts - 1), F.floor((F.col("th") / 2.0 ** 63 + 1) / 2 * parts)).cast("int")
+    split = F.col("doc_id").isNull() | F.col("doc_id").isin(hot) if hot else F.col("doc_id").isNull()
+    rows = rows.withColumn("range", at * parts + F.when(split, part).otherwise(0))
     first = rows.groupBy("range").agg(F.max(F.struct("doc_id", "th")).alias("top")).collect()
     first = sorted(((r.range, r.top.doc_id, r.top.th) for r in first), reverse=True)
     hosts = [(first[i - 1][0], *first[i]) for i in range(len(first))]  # the first range's first row goes to the last one

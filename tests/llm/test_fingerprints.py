@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from slicemill.llm import fingerprints as P
+from slicemill.llm.common import keyed
 
 
 def phrases(text):
@@ -73,6 +74,23 @@ def test_next_document(docs_of):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_hot_ids_are_split(docs_of):
+    """Rows of one id, and rows without an id, lie in several ranges and still follow each other by the hash of their texts."""
+    rnd = random.Random(4)
+    ids = [5] * 150 + [None] * 150 + [-7] * 40 + list(range(100))
+    rows = [(i, f"{n} " + "".join(rnd.choice("abc ") for _ in range(rnd.randint(1, 90)))) for n, i in enumerate(ids)]
+    docs = docs_of(rows)
+    order = sorted(((r.doc_id is not None, r.doc_id or 0, r.th, r.text, r.doc_id) for r in keyed(docs).collect()), reverse=True)
+    want = []
+    for (_, _, _, text, doc_id), (_, _, _, after, _) in zip(order, order[1:] + order[:1]):
+        whole = text[:len(text) - len(text) // 3] + after[:len(text) // 3]
+        want.append((doc_id, len(text), hashlib.sha256(whole.encode()).hexdigest()))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in P.compare_with_next(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    spread = P.with_next(docs).where("guest = 0").groupBy("doc_id", "range").count().groupBy("doc_id").max("count").collect()
+    assert {r[0]: r[1] for r in spread if r[0] in (5, None)}.keys() == {5, None} and all(r[1] <= 80 for r in spread)
+
+
 def test_awkward(awkward, docs_of):
     rows = P.compare_with_next(awkward).collect()
     assert len(rows) == awkward.count()
