@@ -20,7 +20,7 @@ Spark moves grow with its square only over the block size.
 
 Defined cases: null, empty and word-free texts are equal to each other: one class without links to others; rows equal
 in doc_id and text count as copies; a class is named by its smallest doc_id (null ids last); repeated rows of the
-kept document are dropped with its other copies; empty tables give empty results; extra columns pass through.
+kept document are dropped with its other copies; very long texts are read whole; empty tables give empty results; extra columns pass through.
 """
 
 from __future__ import annotations

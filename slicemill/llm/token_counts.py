@@ -7,7 +7,8 @@ the lowest rank is popped from a heap and merged in the list until no ranked pai
 less its merges. Workers remember the counts of at most ``KEPT`` words.
 
 Defined cases: null is the empty text, which has no tokens; bytes that the vocabulary lacks count nothing, as the
-library drops them; repeated rows count alike; null ids stay null; extra columns are not used.
+library drops them; very long texts are read whole, word by word; pairs of equal rank are merged from the left; repeated rows count
+alike; null ids stay null; empty tables give empty tables; extra columns are not used.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ or those of one batch.
 Defined cases: null and empty texts, and texts without words of three characters, get the score of no evidence; rows
 without id are scored and not held out; without labels of both kinds, or where no word tells
 them apart, every score is the share of label 1 among all labelled documents, else 0, and ``drop_toxic`` keeps every
-document; repeated rows are scored alike; extra columns pass through ``drop_toxic`` untouched.
+document; very long texts are scored whole, word by word; among windows of equal score the first in order of their text is the
+witness; repeated rows are scored alike; empty tables give empty tables; extra columns pass through ``drop_toxic`` untouched.
 """
 
 from __future__ import annotations
