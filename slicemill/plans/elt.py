@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from slicemill.operators import star
 from slicemill.operators.history import calendar, dim_team, observations
 from slicemill.operators.marts import MART_KEY, in_play, mart_team_day
 from slicemill.session import work_path
-from slicemill.sinks.datasets import store_failures
+from slicemill.sinks.datasets import store_failures, write_partitioned
 from slicemill.sinks.observed import remove_folder
 from slicemill.sinks.versioned import PublicationRefused, PublishedMart
 from slicemill.sources import files
@@ -97,7 +98,7 @@ def rules(ctx: Mapping[str, DataFrame], start, end) -> list[q.RowRule | q.QueryR
     checks = {
         "goals_not_exceed_match_score": q.goals_not_exceed_score(ctx["fact_shot"], ctx["dim_match"]),
         "mart_measure_order": q.measure_order(ctx["mart"]),
-        "mart_reconciles_with_fact": q.mart_reconciles(in_play(ctx["fact_shot"], lo, hi), ctx["mart"]),
+        "mart_reconciles_with_fact": q.mart_reconciles(in_play(fact_years(ctx["fact_shot"], lo, hi), lo, hi), ctx["mart"]),
         "one_team_version_per_shot": q.one_version_per_shot(ctx["ods_shots"], ctx["ods_matches"], ctx["dim_team"]),
         "team_version_valid_interval": q.valid_intervals(ctx["dim_team"]),
         "team_versions_no_overlap": q.no_overlap(ctx["dim_team"]),
@@ -105,6 +106,15 @@ def rules(ctx: Mapping[str, DataFrame], start, end) -> list[q.RowRule | q.QueryR
     return out + [q.QueryRule(name, "", rows) for name, rows in checks.items()]
 
 
+FACT_YEAR = "match_year"
+
+
+def fact_years(fact: DataFrame, start, end) -> DataFrame:
+    """The partitions of the stored fact that the slice can lie in."""
+    lo, hi = slice_bounds(start, end)
+    return fact.where(F.col(FACT_YEAR).between(lo.year, (hi - dt.timedelta(days=1)).year))
+
+
 # --- warehouse ---------------------------------------------------------------------------------
 
 @dataclass
@@ -215,10 +225,13 @@ class Warehouse:
 
     # layers
 
-    def _kept(self, name: str, df: DataFrame, run: str) -> DataFrame:
-        """Write a layer table and go on from what was written."""
+    def _kept(self, name: str, df: DataFrame, run: str, by: str | None = None) -> DataFrame:
+        """Write a layer table, in partitions of ``by`` if named, and go on from what was written."""
         path = f"{self.root}/{run}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        if by:
+            write_partitioned(df, path, by)
+        else:
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def build(self, start, end, run_id: str, run: str | None = None) -> dict[str, DataFrame]:
@@ -228,8 +241,10 @@ class Warehouse:
         ctx |= staging(ctx)
         ctx |= {n: self._kept(n, df, run) for n, df in current_state(ctx).items()}
         ctx |= {n: self._kept(n, df, run) for n, df in dimensions(ctx).items()}
-        ctx |= {n: self._kept(n, df, run) for n, df in facts(ctx, ctx).items()}
-        mart = mart_team_day(ctx["fact_shot"], ctx["dim_team"], ctx["dim_match"], start, end, run_id)
+        # a slice reads the years that it lies in
+        fact = facts(ctx, ctx)["fact_shot"].withColumn(FACT_YEAR, F.year("match_date"))
+        ctx["fact_shot"] = self._kept("fact_shot", fact, run, FACT_YEAR)
+        mart = mart_team_day(fact_years(ctx["fact_shot"], start, end), ctx["dim_team"], ctx["dim_match"], start, end, run_id)
         ctx["mart"] = self._kept("mart", mart, run)
         return ctx
 

@@ -57,6 +57,21 @@ def csv_row_numbers(spark, sf_dir):
     return per_file.agg(F.sum("n").alias("rows"), F.bool_and(gapless).alias("numbered"))
 
 
+@query("csv_row_order", "SRC-05 SRC-06", """
+SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderstatus, o_orderpriority ORDER BY o_orderkey) AS BIGINT) AS row_no FROM orders""")
+def csv_row_order(spark, sf_dir):
+    """Order and numbers of lines by value: gzip files of sorted orders, one for each status and priority, read in one scan that
+    stores the places; the numbers come from what was stored."""
+    path, kept = work_path(spark, "sorted-csv"), work_path(spark, "placed")
+    rows = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority", "o_orderkey")
+    (rows.repartition("o_orderstatus", "o_orderpriority").sortWithinPartitions("o_orderstatus", "o_orderpriority", "o_orderkey")
+     .write.partitionBy("o_orderstatus", "o_orderpriority").option("header", True).option("compression", "gzip").csv(path))
+    scan = files.read_typed_csv(spark, f"{path}/*/*", T.StructType([T.StructField("o_orderkey", T.LongType())]))
+    files.place_rows(scan).write.parquet(kept)
+    stored = spark.read.parquet(kept)
+    return files.dense_numbers(stored, files.block_offsets(stored), "row_no").select("o_orderkey", "row_no")
+
+
 def event_lines(spark, sf_dir, name):
     """events as JSON-line envelopes, one folder per type, with a blank line after every error event."""
     path = work_path(spark, name)
@@ -112,7 +127,7 @@ def fingerprint_by_lines(spark, sf_dir):
         F.bool_and(F.col("sha256").startswith("lines:")).alias("by_lines"), F.sum("row_count").alias("row_count"))
 
 
-@query("fingerprint_order", "SRC-17 SRC-07", "SELECT 2 AS files, 2 AS hashes, 1 AS contents FROM events LIMIT 1")
+@query("fingerprint_order", "SRC-17 SRC-07", "SELECT 2 AS files, 2 AS hashes, 1 AS contents, count(*) AS rows FROM events")
 def fingerprint_order(spark, sf_dir):
     """The same lines in two orders have different hashes by either method. Each order is a folder of range-partitioned
     files; a folder's digest is that of its files' hashes and their places, and ``files`` counts the folders."""
@@ -133,7 +148,7 @@ def fingerprint_order(spark, sf_dir):
         digests[method] = per.select("folder", "row_count", F.concat_ws(":", "n", "hi", "lo").alias(method))
     both = digests["bytes"].join(digests["lines"].drop("row_count"), "folder")
     return both.agg(F.count(F.lit(1)).alias("files"), F.least(F.count_distinct("bytes"), F.count_distinct("lines")).alias("hashes"),
-                    F.count_distinct("row_count").alias("contents"))
+                    F.count_distinct("row_count").alias("contents"), F.max("row_count").alias("rows"))
 
 
 def batch_inputs(spark, sf_dir, name):

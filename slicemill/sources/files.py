@@ -68,6 +68,32 @@ def number_rows(scan: DataFrame, name: str, file: str | None = None) -> DataFram
     return out.select(*cols, number.alias(name), *([decoded(F.col("_file")).alias(file)] if file else []))
 
 
+PLACE = ["file", "block", "place"]
+
+
+def place_rows(scan: DataFrame) -> DataFrame:
+    """Adds where a row lies: its file, the start of its block and its place there, in one scan without a shuffle.
+
+    Places grow inside a block in file order, so (block, place) is the order of a file's rows. Store them with the rows;
+    a number that is dense as well can be had from what was stored, see ``dense_numbers``.
+    """
+    return scan.select("*", decoded(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                       F.monotonically_increasing_id().alias("place"))
+
+
+def block_offsets(stored: DataFrame) -> DataFrame:
+    """(file, block, first place, rows of the file before it) from the stored places: one row for each block."""
+    blocks = stored.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("place").alias("_first"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("file", "block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+
+
+def dense_numbers(some: DataFrame, offsets: DataFrame, name: str) -> DataFrame:
+    """Numbers from 1 in file order for any of the stored rows, by the offsets of their blocks."""
+    number = F.col("_before") + F.col("place") - F.col("_first") + 1
+    return some.join(offsets, ["file", "block"]).withColumn(name, number).drop("_before", "_first")
+
+
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Non-blank lines with their file and their number among the non-blank lines of that file."""
     text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("_path"))

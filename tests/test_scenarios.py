@@ -166,6 +166,20 @@ def test_empty_slice_clears_old_rows(house):
     assert restored(house)
 
 
+def test_superseded_data_goes(house, rows):
+    run = house.run("partner", *FULL, "run-16")
+    back = house.run("baseline", *FULL, "run-17")
+    before = rows(house.mart.rows(), *BUSINESS)
+    raw = {n: house.raw()[n].count() for n in ("matches", "shots")}
+    gone = house.drop_superseded([run.folder])
+    assert gone["batches"] and gone["publications"] and gone["runs"] == [run.folder]
+    assert rows(house.mart.rows(), *BUSINESS) == before and {n: house.raw()[n].count() for n in raw} == raw
+    assert back.layers["fact_shot"].count() == house.fact_before.count() and restored(house)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        run.layers["fact_shot"].count()
+    assert house.run("baseline", *FULL, "run-18").published["checksum"] == house.first.published["checksum"]
+
+
 def test_missing_slice_is_an_error(house):
     with pytest.raises(ValueError, match="missing"):
         house.run("baseline", None, "2024-07-15", "run-15")
