@@ -144,15 +144,17 @@ def zorder_rows_met(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-def with_small_files(spark, write):
-    """Runs ``write`` without gathering small partitions, so that a small table has files to skip as a large one has."""
-    name = "spark.sql.adaptive.coalescePartitions.enabled"
-    old = spark.conf.get(name)
-    spark.conf.set(name, "false")
+def with_small_files(spark, write, files=16):
+    """Runs ``write`` with ``files`` partitions that are not gathered, so that a small table has files to skip as a large one has."""
+    want = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": str(files)}
+    old = {name: spark.conf.get(name) for name in want}
     try:
+        for name, value in want.items():
+            spark.conf.set(name, value)
         write()
     finally:
-        spark.conf.set(name, old)
+        for name, value in old.items():
+            spark.conf.set(name, value)
 
 
 @query("sketch_slices", "SNK-14 C-23", f"""WITH {FACT_SQL}, y AS (SELECT *, greatest(year(match_date), {FIRST_YEAR - 1}) AS y FROM fact)

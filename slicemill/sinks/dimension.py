@@ -67,6 +67,9 @@ class ScdDimension:
         touched = self._kept(touched.distinct().select(null_safe_key(*self.entity).alias("_key"), self._bucket().alias(BUCKET)), "touched")
         buckets = sorted(r[BUCKET] for r in touched.select(BUCKET).distinct().collect())  # at most self.buckets
         touched = touched.select("_key")
+        if not buckets:
+            none = versions_of_spans(new, self.entity)
+            return Delivery(none, none, 0, buckets)
         old = stored(self.spark, self.path)
         if old is None:
             rest, before = None, versions_of_spans(new, self.entity).where("false")

@@ -63,11 +63,11 @@ SNAPSHOT, OPERATION = "snapshot_id", "operation"
 
 
 def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows below ``path``, or None before the first write."""
+    """The rows below ``path``, or None before the first row is written."""
     try:
         return spark.read.option("mergeSchema", False).parquet(path)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 

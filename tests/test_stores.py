@@ -39,6 +39,8 @@ def test_deliveries_in_any_order(spark, tmp_path, rows):
     parts = [observations(rnd, 60) for _ in range(4)]
     dim = ScdDimension(spark, str(tmp_path / "dim"), ["src", "team"], "mgr", "d", "name", buckets=7)
     assert dim.read() is None
+    empty = dim.deliver(spark.createDataFrame([], OBS))
+    assert dim.read() is None and empty.rows_written == 0 and empty.after.count() == 0
     so_far = []
     for number in (2, 0, 3, 0, 1):  # one of them twice
         dim.deliver(spark.createDataFrame(parts[number], OBS))
