@@ -70,6 +70,11 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, fi
     return member(headers, answer if revisit else answer + payload)
 
 
+def info_member() -> bytes:
+    """The first record of an archive."""
+    return member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC file version 1.1\r\n")
+
+
 def fields(head: bytes) -> dict[bytes, bytes]:
     return {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in head.split(b"\r\n")[1:])}
 
@@ -108,17 +113,17 @@ def write(pages: DataFrame, target: str, least: int = LEAST, archive: int = ARCH
         stream, name, at = None, None, 0
         for batch in batches:
             for some in slices(batch):
-                if stream is None and some.num_rows or at > archive:
-                    if stream:
-                        stream.close()
-                    system.create_dir(folder, recursive=True)
-                    name = f"{folder}/pages-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}.warc.gz"
-                    stream = system.open_output_stream(name, compression=None)
-                    info = member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", DATE), ("Content-Type", "application/warc-fields")], b"format: WARC file version 1.1\r\n")
-                    stream.write(info)
-                    at = len(info)
                 made = []
                 for row in zip(*(some.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "first", "revisit"))):
+                    if stream is None or at > archive:
+                        if stream:
+                            stream.close()
+                        system.create_dir(folder, recursive=True)
+                        name = f"{folder}/pages-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex}.warc.gz"
+                        stream = system.open_output_stream(name, compression=None)
+                        info = info_member()
+                        stream.write(info)
+                        at = len(info)
                     raw = record(*row)
                     stream.write(raw)
                     made.append(("revisit" if row[-1] else "response", name, at, len(raw)))
