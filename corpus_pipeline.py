@@ -1,6 +1,11 @@
 """The corpus pipeline: toxicity, line dedup, near duplicates, benchmark decontamination, packing.
 
 Every stage takes what the one before kept, in the columns of ``documents``; the last returns the packing.
+
+Defined cases: documents without an id or text are kept and packed like others, and null, empty and word-free texts are
+near duplicates of each other, so one of them stays; very long texts are read whole by every stage; of equal rows one stays;
+ties are broken by the smaller doc_id, then by the hash of the text; an empty table gives an empty packing; columns that no
+stage uses are carried along as they are.
 """
 
 from __future__ import annotations
