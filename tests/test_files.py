@@ -197,7 +197,8 @@ def test_orders_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(source_queries, "work_path", lambda spark, name: str(tmp_path / name))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        assert tuple(source_queries.fingerprint_order(spark, "/root/testdata/sf0.001").first()) == (2, 2, 1)
+        events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+        assert tuple(source_queries.fingerprint_order(spark, "/root/testdata/sf0.001").first()) == (2, 2, 1, events)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     for name in ("up", "down"):
