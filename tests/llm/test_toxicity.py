@@ -119,3 +119,91 @@ def test_without_a_machine_nothing_is_rejected(spark, docs_of):
     finally:
         T.TRAIN_DOCS = old
     assert T.drop_toxic(docs, labels.withColumn("toxic", F.lit(1))).count() == 200
+
+
+def phrases(n, seed):
+    """Sentences in which both words of the insult occur, in clean ones never side by side."""
+    out = []
+    for i, text, _ in corpus(n, seed):
+        rnd = random.Random(seed * 10_000 + i)
+        words, toxic = [w for w in text.rstrip(".").split() if w not in INSULTS], i % 4 == 0
+        at = rnd.randrange(len(words) - 3)
+        words[at:at] = ["drop", "dead"] if toxic else ["drop", *words[at:at + 2], "dead"] if i % 4 == 1 else ["dead"] if i % 4 == 2 else ["drop"]
+        out.append((i, " ".join(words) + ".", int(toxic)))
+    return out
+
+
+def test_insults_of_several_clean_words():
+    rows = phrases(400, 1)
+    m = T.fit([r[1] for r in rows], [r[2] for r in rows])
+    rows = phrases(300, 2)
+    got = [int(p >= 0.5) for p in T.probabilities(m, [r[1] for r in rows])]
+    assert sum(g for g, r in zip(got, rows) if r[2]) >= 0.95 * sum(r[2] for r in rows)
+    assert sum(g for g, r in zip(got, rows) if not r[2]) <= 0.05 * sum(not r[2] for r in rows)
+
+
+def test_insults_split_by_spaces():
+    split = ["nit wit", "n. i. t. w. i. t.", "block head", "scoun drel", "d-i m w-i t", "block\thead"]
+    assert all(p >= 0.5 for p in T.probabilities(model(), [f"be ardel {w} conly" for w in split]))
+
+
+def plain_windows(text):
+    """The windows of a text by a loop over its words."""
+    words = []  # letters, single, whether a sentence ends behind it
+    for line in text.lower().split("\n"):
+        for raw in line.split():
+            w, stop = "".join(c for c in raw if c.isalnum()), any(c in ".!?" for c in raw.lstrip("".join(set(c for c in raw if c.isalnum()))))
+            tail = raw[max((i for i, c in enumerate(raw) if c.isalnum()), default=-1) + 1:]
+            head = raw[:min((i for i, c in enumerate(raw) if c.isalnum()), default=len(raw))]
+            if not w:
+                if words and any(c in ".!?" for c in raw):
+                    words[-1][2] = True
+                continue
+            if words and any(c in ".!?" for c in head):
+                words[-1][2] = True
+            words.append([w, len(w) == 1, any(c in ".!?" for c in tail)])
+        if words:
+            words[-1][2] = True
+    merged = []
+    for w, single, stop in words:
+        if single and merged and merged[-1][1]:
+            merged[-1] = [merged[-1][0] + w, True, stop]
+        else:
+            merged.append([w, single, stop])
+    out = set()
+    for i, (w, _, _) in enumerate(merged):
+        out |= {w} if len(w) <= T.WINDOW else {w[k:k + T.WINDOW] for k in range(0, len(w) - T.WINDOW // 2, T.WINDOW // 2)}
+        for k in range(1, T.WORDS):
+            if i + k < len(merged) and not any(m[2] for m in merged[i:i + k]):
+                joined = "".join(m[0] for m in merged[i:i + k + 1])
+                out |= {joined} if len(joined) <= T.WINDOW else set()
+    return sorted(w for w in out if len(w) >= T.LENGTH)
+
+
+def test_scores_are_those_of_all_windows_one_by_one():
+    """Running sums over batches give the highest margin of the windows, each scored alone as a string."""
+    m, rnd = model(), random.Random(5)
+    signs = ["a", "b", "nit", "wit", "blockhead", ".", "!", " ", " ", " ", "\n", "-", "é", "ß", "中文", "x" * 30, "dim", "\t", "\ud800", "İ", "1"]
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 60))) for _ in range(400)]
+    got = [w for t in texts for w in [T.Windows([t.lower()])]]
+    for t, w in zip(texts, got):
+        start, end, _, _ = w.whole()
+        assert sorted({w.text(*x) for x in zip(start, end)}) == plain_windows(t), t
+    direct = [max([m.bias, *m.margins(plain_windows(t))]) for t in texts]
+    batch = m.worst([t.lower() for t in texts])
+    assert max(abs(a - b) for a, b in zip(direct, batch)) < 1e-3
+    assert T.probabilities(m, texts) == [T.probabilities(m, [t])[0] for t in texts]
+
+
+def test_long_texts_are_scored_whole():
+    """Pieces of a long text meet every window, also the ones at a cut."""
+    m, old = model(), (T.PIECE, T.BLOCK, T.OVERLAP)
+    texts = ["be ardel " * k + "nit wit " + "conly " * 200 for k in range(0, 60)]
+    whole = T.probabilities(m, texts)
+    try:
+        T.PIECE, T.BLOCK, T.OVERLAP = 300, 500, 100
+        assert T.probabilities(m, texts) == whole
+        assert T.probabilities(m, ["x" * 5000 + " nitwit"])[0] >= 0.5
+    finally:
+        T.PIECE, T.BLOCK, T.OVERLAP = old
+    assert all(p >= 0.5 for p in whole)
