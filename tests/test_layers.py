@@ -1,12 +1,15 @@
 """How the layers of the run over the test tables are built: rows as before, work that grows with the rows only."""
 
 import datetime as dt
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 
 from slicemill.functions.columns import payload_hash
 from slicemill.plans import elt_queries as Q
+from slicemill.plans import registry
+from slicemill.session import freed_shuffles, shared_root
 
 LINE = ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
@@ -79,3 +82,56 @@ def test_newest_version_sorts_by_a_number_first(spark):
     out = latest_version(df, ["k"], ["v desc", "h desc"], "h")
     assert sorted(map(tuple, out.collect()), key=str) == [("x", 1, "b", 2, 2), (None, 2, "b", 2, 1)]
     assert "Sort [_hash" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def folders(spark):
+    """Relations that lie in the shared folder now."""
+    root = Path(f"{shared_root(spark)}/slicemill".removeprefix("file:"))
+    return {f.name for f in root.iterdir()} if root.exists() else set()
+
+
+def test_shuffle_files_go_with_the_write_and_the_settings_are_put_back(spark, tables):
+    keys = ["spark.sql.classic.shuffleDependency.fileCleanup.enabled", "spark.sql.variant.inferShreddingSchema"]
+    before, seen = [spark.conf.get(k) for k in keys], []
+    with freed_shuffles(spark):
+        seen.append(spark.conf.get(keys[0]))
+    out = Q.stored(spark, "grouped", spark.range(100, numPartitions=4).groupBy((Q.F.col("id") % 7).alias("k")).count())
+    assert seen == ["true"] and [spark.conf.get(k) for k in keys] == before
+    assert out.count() == 7 and {f.metadata.row_group(0).column(0).compression for f in files(out) if f.metadata.num_row_groups} == {"ZSTD"}
+
+
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_layers_made_part_by_part_are_those_made_at_once(spark, tmp_path, monkeypatch, parts):
+    tables = written(spark, tmp_path, NUMBERS[:3] * 4)  # null keys, repeated rows, parts without rows
+    whole = Q.layers(spark, tables, 3)
+    monkeypatch.setattr(Q, "PART_ROWS", 1)
+    monkeypatch.setattr(Q, "PARTS", parts)
+    monkeypatch.setattr(Q, "FACT_PARTS", 2)
+    ctx = Q.layers(spark, tables, 3)
+    assert set(ctx) == set(whole)
+    for name in ("stg_matches", "stg_shots", "ods_matches", "ods_shots", "dim_player", "fact_shot"):
+        assert ctx[name].schema == whole[name].schema
+        assert ctx[name].count() and ctx[name].exceptAll(whole[name]).count() == whole[name].exceptAll(ctx[name]).count() == 0
+
+
+def test_layers_of_empty_tables_are_empty(spark, tmp_path):
+    for name in ("customer", "orders", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    ctx = Q.layers(spark, str(tmp_path), 3, ["ods_shots", "fact_shot"])
+    assert ctx["fact_shot"].count() == ctx["ods_shots"].count() == 0 and set(ctx) == {"batches", "ods_shots", "fact_shot"}
+
+
+KEPT = {
+    "elt_rules_report": {"fact_shot", "ods_matches"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(KEPT))
+def test_only_what_the_query_still_reads_is_kept(spark, tmp_path, monkeypatch, name):
+    tables = written(spark, tmp_path, NUMBERS[:3])
+    monkeypatch.setattr(Q, "PART_ROWS", 2)
+    before = folders(spark)
+    out = registry.QUERIES[name](spark, tables)
+    kept = {f.rsplit("-", 1)[0] for f in folders(spark) - before}
+    assert kept == KEPT[name] | {"raw-batches"}
+    assert out.count() >= 0
