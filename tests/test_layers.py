@@ -124,6 +124,7 @@ def test_layers_of_empty_tables_are_empty(spark, tmp_path):
 KEPT = {
     "elt_rules_report": {"fact_shot", "ods_matches"},
     "elt_goals_not_exceed": {"fact_shot", "ods_matches"},
+    "elt_fact_shot": {"fact_shot"},
 }
 
 
