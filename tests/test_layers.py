@@ -125,6 +125,7 @@ KEPT = {
     "elt_rules_report": {"fact_shot", "ods_matches"},
     "elt_goals_not_exceed": {"fact_shot", "ods_matches"},
     "elt_fact_shot": {"fact_shot"},
+    "elt_mart_team_day": {"fact_shot", "dim_team", "dim_match"},
 }
 
 
