@@ -126,6 +126,7 @@ KEPT = {
     "elt_goals_not_exceed": {"fact_shot", "ods_matches"},
     "elt_fact_shot": {"fact_shot"},
     "elt_mart_team_day": {"fact_shot", "dim_team", "dim_match"},
+    "elt_layer_counts": {"fact_shot", "ods_shots", "dim_team", "raw_count"},
 }
 
 
