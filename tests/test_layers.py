@@ -128,6 +128,7 @@ KEPT = {
     "elt_mart_team_day": {"fact_shot", "dim_team", "dim_match"},
     "elt_layer_counts": {"fact_shot", "ods_shots", "dim_team", "raw_count"},
     "elt_trace": {"raw_lines", "versions", "current"},
+    "elt_dim_player": {"ods_shots"},
 }
 
 
