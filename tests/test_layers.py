@@ -129,6 +129,7 @@ KEPT = {
     "elt_layer_counts": {"fact_shot", "ods_shots", "dim_team", "raw_count"},
     "elt_trace": {"raw_lines", "versions", "current"},
     "elt_dim_player": {"ods_shots"},
+    "elt_ods_shots": {"ods_shots"},
 }
 
 
