@@ -130,6 +130,7 @@ KEPT = {
     "elt_trace": {"raw_lines", "versions", "current"},
     "elt_dim_player": {"ods_shots"},
     "elt_ods_shots": {"ods_shots"},
+    "elt_dim_match": {"ods_matches"},
 }
 
 
