@@ -131,6 +131,7 @@ KEPT = {
     "elt_dim_player": {"ods_shots"},
     "elt_ods_shots": {"ods_shots"},
     "elt_dim_match": {"ods_matches"},
+    "elt_team_observations": {"ods_matches"},
 }
 
 
