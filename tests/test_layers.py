@@ -132,6 +132,7 @@ KEPT = {
     "elt_ods_shots": {"ods_shots"},
     "elt_dim_match": {"ods_matches"},
     "elt_team_observations": {"ods_matches"},
+    "elt_dim_team": {"ods_matches"},
 }
 
 
